@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 ALL_ONES = 0xFFFFFFFF
-OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-IPV4 = rf"^(?:{OCTET}\.){{3}}{OCTET}$"
 
 
 def big(value):
@@ -22,10 +20,14 @@ def shift_left(value, bits):
 
 
 def ip_to_long(ip):
-    """Dotted address to its number, null for text that is not one."""
+    """Dotted address to its number, null for text that is not one.
+
+    Only digits and three dots may occur; an empty octet casts to null, which the sum passes on.
+    """
     octets = F.split(ip, r"\.")
     parts = [F.get(octets, F.lit(i)).try_cast("bigint") for i in range(4)]
-    return F.when(ip.rlike(IPV4), reduce(lambda acc, p: acc * 256 + p, parts))
+    valid = (F.translate(ip, "0123456789", "") == "...") & (F.greatest(*parts) <= 255)
+    return F.when(valid, reduce(lambda acc, p: acc * 256 + p, parts))
 
 
 def long_to_ip(number):

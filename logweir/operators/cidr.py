@@ -57,6 +57,7 @@ def longest_prefix_segments(cidrs, labels, inclusive=True, broadcast_bytes=BROAD
         residual=F.col("seg_lo").between(F.col("_first"), F.col("_last")),
         salt_by=["seg_lo"],
         broadcast_bytes=broadcast_bytes,
+        stored=True,
     )
     best = F.max(F.struct("_mask", *labels)).alias("_best")
     return covered.groupBy("seg_lo", "seg_hi").agg(best).select(
@@ -97,12 +98,12 @@ def locate_v6(
     probes = probes.withColumn("_net", hex_bounds(F.col("_hex"), F.col("_len"))[0])
     strict = None if inclusive else (F.col("_hex") != F.col("_net")) & (F.col("_hex") != F.col("_last"))
     hits = lookup_join(
-        probes, blocks, ["_len", "_net"], "inner", strict, ["_hex"], broadcast_bytes, **join_options
+        probes, blocks, ["_len", "_net"], "inner", strict, ["_hex"], broadcast_bytes, stored=True, **join_options
     )
     best = F.max(F.struct("_len", *labels)).alias("_best")
     answers = hits.groupBy("_hex").agg(best).select("_hex", *[f"_best.{c}" for c in labels]).checkpoint()
     joined = lookup_join(
-        keyed, answers, ["_hex"], "left", None, salt_by or df.columns, broadcast_bytes, **join_options
+        keyed, answers, ["_hex"], "left", None, salt_by or df.columns, broadcast_bytes, stored=True, **join_options
     )
     return joined.select(*df.columns, *labels)
 

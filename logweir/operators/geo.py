@@ -85,7 +85,8 @@ def locate(
     Segments that fit a broadcast are joined twice in one stage: those inside one /24 block on
     that block, the others on each /16 block they touch (at most 65,536 extra rows). Since segments
     are disjoint, a block then holds at most 256 of either kind, and only one can match. Beyond the
-    broadcast size the segments are cut at /24 blocks and joined by one salted shuffle.
+    broadcast size the segments are cut at /24 blocks and joined by one salted shuffle. `segments`
+    should be a stored table: it is measured before it is joined.
     """
     number = F.col("_ip")
     held = number.between(F.col("seg_lo"), F.col("seg_hi"))
@@ -112,6 +113,7 @@ def locate(
         residual=held,
         salt_by=salt_by or df.columns,
         broadcast_bytes=broadcast_bytes,
+        stored=True,
         **join_options,
     ).select(*df.columns, *labels)
 

@@ -45,6 +45,7 @@ def lookup_join(
     broadcast_bytes=BROADCAST_BYTES,
     rows_per_task=ROWS_PER_TASK,
     stream_salts=32,
+    stored=False,
 ):
     """Equi-join of a large table with a lookup table that has few rows per key.
 
@@ -53,8 +54,12 @@ def lookup_join(
     with the matching lookup rows repeated once per salt. `salt_by` names columns that tell rows of
     one key apart (an offset or sequence number); the result does not depend on it. A stream
     cannot be counted ahead, so there every key gets `stream_salts` salts.
-    `residual` is a further condition over columns of both sides.
+    `residual` is a further condition over columns of both sides. A lookup table that is not yet
+    `stored` is written to the checkpoint folder first, so that measuring it does not compute it twice.
     """
+    if not stored:
+        ensure_checkpoint_dir(right.sparkSession)
+        right = right.checkpoint()
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in on]
     )
@@ -160,7 +165,7 @@ def prefix_maps(counts, keys=("target_ip",), max_entries=100_000):
     ensure_checkpoint_dir(counts.sparkSession)
     entries = counts.withColumn("prefix", F.coalesce("prefix", F.lit(""))).checkpoint()
     parts = _parts(entries, keys, F.lit(1), max_entries)
-    placed = lookup_join(entries, parts, keys, "inner", salt_by=["prefix"])
+    placed = lookup_join(entries, parts, keys, "inner", salt_by=["prefix"], stored=True)
     placed = placed.withColumn("part", part_of(F.col("prefix"), F.col("parts")))
     # Sorted by prefix, so that equal histograms are equal rows.
     entry = F.sort_array(F.collect_list(F.struct("prefix", "n")))
@@ -181,7 +186,7 @@ def prefix_lists(prefixes, row_id, max_items=100_000):
     ensure_checkpoint_dir(prefixes.sparkSession)
     rows = prefixes.withColumn("prefix", F.coalesce("prefix", F.lit("")))
     parts = _parts(rows.groupBy("target_ip").agg(F.count(F.lit(1)).alias("n")), ["target_ip"], "n", max_items)
-    placed = lookup_join(rows, parts, ["target_ip"], "inner", salt_by=[row_id])
+    placed = lookup_join(rows, parts, ["target_ip"], "inner", salt_by=[row_id], stored=True)
     placed = placed.withColumn("part", part_of(F.col(row_id).cast("string"), F.col("parts")))
     return placed.groupBy("target_ip", "part", "parts").agg(
         F.sort_array(F.collect_list("prefix")).alias("prefixes")

@@ -48,11 +48,14 @@ def events(spark, sf_dir):
 
 
 def lines_of(events_df):
-    """Pipe-delimited messages with a sequence number that follows event time."""
+    """Pipe-delimited messages with a sequence number that follows event time.
+
+    The text comes out of an explode of one element: filters on it cannot be pushed below, which
+    would build it once per filter and again for the result.
+    """
     copies = events_df.selectExpr("*", f"{COPIES} AS copy")
-    return copies.selectExpr(
-        "event_id * 4 + copy AS seq", f"concat_ws('|', {', '.join(MESSAGE.values())}) AS value"
-    )
+    text = f"concat_ws('|', {', '.join(MESSAGE.values())})"
+    return copies.selectExpr("event_id * 4 + copy AS seq", f"explode(array({text})) AS value")
 
 
 def dns_lines(spark, sf_dir):

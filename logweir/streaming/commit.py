@@ -6,8 +6,9 @@ partitions. Rows and state of a batch go to paths named by the batch, so a repea
 them.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from logweir.streaming.sinks import triggered
 
@@ -18,7 +19,7 @@ COMMITTED = StructType(
 )
 OPEN_HOURS = StructType(
     [StructField("dt", StringType()), StructField("hr", StringType()), StructField("rows", LongType()),
-     StructField("max_time", TimestampType())]
+     StructField("max_micros", LongType())]
 )
 
 
@@ -57,35 +58,35 @@ def commit_stream(
         ).format(fmt).save(f"{path}/data")
 
         seen = placed.where(F.col(time).isNotNull()).groupBy(*HOUR).agg(
-            F.count(F.lit(1)).alias("rows"), F.max(time).alias("max_time")
+            F.count(F.lit(1)).alias("rows"), F.unix_micros(F.max(time)).alias("max_micros")
         )
-        # Open hours of the batch before: a few rows, whatever the size of the data.
+        # The state of the batch before: a row per open hour, whatever the size of the data.
         earlier = f"{path}/open_hours/{batch_id - 1}"
         if exists(spark, earlier):
             seen = seen.unionByName(spark.read.schema(OPEN_HOURS).parquet(earlier))
-        hours = seen.groupBy(*HOUR).agg(F.sum("rows").alias("rows"), F.max("max_time").alias("max_time"))
-        state = hours.collect()
+        hours = seen.groupBy(*HOUR).agg(
+            F.sum("rows").alias("rows"), F.max("max_micros").alias("max_micros")
+        )
+        begin = F.to_timestamp(F.concat_ws(" ", *HOUR), "yyyy-MM-dd HH")
+        watermark = F.timestamp_micros(F.max("max_micros").over(Window.partitionBy()))
+        over = begin + F.expr(f"interval {wait}") <= watermark - F.expr(f"interval {delay}")
+        state = hours.withColumn("over", over).collect()
         placed.unpersist()
 
-        table = spark.createDataFrame(state, OPEN_HOURS)
-        latest = max((r["max_time"] for r in state), default=None)
-        begin = F.to_timestamp(F.concat_ws(" ", *HOUR), "yyyy-MM-dd HH")
-        watermark = F.lit(latest).cast("timestamp") - F.expr(f"interval {delay}")
-        table = table.withColumn(
-            "_due", F.coalesce(begin + F.expr(f"interval {wait}") <= watermark, F.lit(False))
-        )
+        still_open = [tuple(r)[:4] for r in state if not r["over"]]
         done = committed_partitions(spark, path).where(F.col("batch") < batch_id)
-        due = table.where("_due").join(done.select(*HOUR), HOUR, "left_anti").collect()
+        done = {(r["dt"], r["hr"]) for r in done.select(*HOUR).collect()}
+        due = [r for r in state if r["over"] and (r["dt"], r["hr"]) not in done]
         for r in due:
             mark_success(spark, f"{path}/data/dt={r['dt']}/hr={r['hr']}")
         if due:
             news = [(r["dt"], r["hr"], r["rows"], batch_id) for r in due]
-            spark.createDataFrame(news, COMMITTED).write.mode("overwrite").parquet(
-                f"{path}/committed/part={batch_id}"
-            )
-        table.where(~F.col("_due")).drop("_due").write.mode("overwrite").parquet(
-            f"{path}/open_hours/{batch_id}"
-        )
+            _one_file(spark, news, COMMITTED, f"{path}/committed/part={batch_id}")
+        _one_file(spark, still_open, OPEN_HOURS, f"{path}/open_hours/{batch_id}")
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
     return triggered(writer, every).start()
+
+
+def _one_file(spark, rows, schema, folder):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(folder)
