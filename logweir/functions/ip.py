@@ -61,31 +61,28 @@ def mask_host_range(ip, netmask):
 
 
 def ipv6_hex(ip):
-    """IPv6 text to 32 hex digits, one `::` expanded; null for text that is not an address."""
-    gap = F.instr(ip, "::")
-    has_gap = gap > 0
-    head = F.when(has_gap, F.substring(ip, F.lit(1), gap - 1)).otherwise(ip)
-    tail = F.when(has_gap, F.substring(ip, gap + 2, F.length(ip))).otherwise(F.lit(""))
-    none = F.array().cast("array<string>")
-    before = F.when(head == "", none).otherwise(F.split(head, ":"))
-    after = F.when(tail == "", none).otherwise(F.split(tail, ":"))
-    missing = 8 - F.size(before) - F.size(after)
-    zeros = F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0)))
-    groups = F.concat(before, zeros, after)
-    valid = (
-        F.when(has_gap, missing >= 1).otherwise(missing == 0)
-        & F.forall(groups, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+    """IPv6 text to 32 hex digits, one `::` expanded; null for text that is not an address.
+
+    Built from few references to its argument: an expression that repeats it would be evaluated
+    once per repeat.
+    """
+    zero, none, gap = F.lit("0"), F.lit(""), F.lit("::")
+    edged = F.concat(
+        F.when(ip.startswith("::"), zero).otherwise(none), ip, F.when(ip.endswith("::"), zero).otherwise(none)
     )
-    digits = F.array_join(F.transform(groups, lambda g: F.lpad(F.lower(g), 4, "0")), "")
-    return F.when(valid, digits)
+    # With text on both sides of the gap there are as many groups as colons.
+    groups = F.length(edged) - F.length(F.replace(edged, F.lit(":"), none))
+    zeros = F.repeat(F.lit("0:"), F.greatest(8 - groups, F.lit(0)))
+    full = F.lower(F.replace(edged, gap, F.concat(F.lit(":"), zeros)))
+    padded = F.concat(F.lit("000"), F.replace(full, F.lit(":"), F.lit(":000")))
+    digits = F.regexp_replace(padded, "0*([0-9a-f]{4})(:|$)", "$1")
+    return F.when(full.rlike("^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"), digits)
 
 
 def ipv6_text(digits):
     """32 hex digits to text; the first run of two or more zero groups becomes `::`."""
-    groups = [
-        F.regexp_replace(F.substring(digits, 1 + 4 * i, 4), "^0{1,3}", "") for i in range(8)
-    ]
-    plain = F.concat_ws(":", *groups)
+    grouped = F.regexp_replace(digits, "([0-9a-f]{4})(?!$)", "$1:")
+    plain = F.regexp_replace(grouped, r"\b0{1,3}(?=[0-9a-f])", "")
     short = F.regexp_replace(plain, r"^(.*?)(?:^|:)(?:0+(?::|$)){2,8}", "$1::")
     return F.when(F.length(digits) == 32, short)
 

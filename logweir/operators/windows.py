@@ -32,6 +32,11 @@ def client_window_counts(timed, size="2 minutes", slide="30 seconds", watermark=
     return windowed(timed, size, slide, watermark=watermark)
 
 
+def with_arrival_time(df, column="arrival_ts"):
+    """Adds the time a row is processed, for windows over arrival rather than event time."""
+    return df.withColumn(column, F.current_timestamp())
+
+
 def arrival_window_sums(df, arrival="arrival_ts", watermark=None):
     """Sum of ones per client over arrival time, 2 minutes every 30 seconds."""
     total = F.sum("one").alias("n")

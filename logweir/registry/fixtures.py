@@ -5,6 +5,8 @@ address range and one block of each kind. The rules add the irregularities a log
 corrections, short times, missing and extra fields, bad codes and addresses, one busy target.
 """
 
+import math
+
 from pyspark.sql import functions as F
 
 from logweir.operators.geo import geo_segments, save_segments
@@ -13,6 +15,7 @@ from logweir.session import pin_utc, work_folder
 from logweir.streaming.commit import exists
 
 CHUNKS = 4
+ROWS_PER_FILE = 2_000_000
 # The targets the prefix histograms are about; the first is the hot one.
 TARGETS = ["106.38.176.185", "106.38.176.117", "106.38.176.118", "106.38.176.116"]
 
@@ -120,20 +123,22 @@ def cidr6_blocks(spark, sf_dir):
 
 def ipv6_clients(spark, sf_dir):
     """An IPv6 address per event in three spellings: padded, compressed, upper case."""
+    # An explode of one element for the same reason as in lines_of.
     return events(spark, sf_dir).selectExpr(
         "event_id",
-        """case when event_id % 1009 = 5 then 'bad-ip'
+        """explode(array(case when event_id % 1009 = 5 then 'bad-ip'
         when event_id % 3 = 0 then concat('2001:0db8:', lpad(lower(hex(user_id % 65536)), 4, '0'),
             ':0000:0000:', lpad(lower(hex(event_id % 16)), 4, '0'), ':0000:', lpad(lower(hex(event_id % 65536)), 4, '0'))
         when event_id % 3 = 1 then concat('2001:db8:', lower(hex(user_id % 65536)), '::',
             lower(hex(event_id % 16)), ':0:', lower(hex(event_id % 65536)))
         else concat('2001:DB8:', hex(user_id % 65536), ':0:0:', hex(event_id % 16), ':0:',
-            hex(event_id % 65536)) end AS client_ip""",
+            hex(event_id % 65536)) end)) AS client_ip""",
     )
 
 
-def files_per_chunk(spark):
-    return max(2, min(spark.sparkContext.defaultParallelism, 64))
+def chunk_files(spark, rows):
+    """Files per chunk: at least one per core, and more once a file would pass ROWS_PER_FILE."""
+    return max(2, min(spark.sparkContext.defaultParallelism, 16), math.ceil(rows / CHUNKS / ROWS_PER_FILE))
 
 
 def write_chunks(spark, sf_dir, folder, chunks, body="pipe", resend=None):
@@ -141,29 +146,30 @@ def write_chunks(spark, sf_dir, folder, chunks, body="pipe", resend=None):
 
     A chunk is a range of event ids; each gives the same number of files, which is then the intake
     limit that makes one chunk one batch. `resend` picks lines that the last chunk repeats.
+    Returns the number of files per chunk.
     """
     base = events(spark, sf_dir)
-    low, high = base.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (high - low + 1) / CHUNKS
+    low, high, rows = base.agg(F.min("event_id"), F.max("event_id"), F.count(F.lit(1))).first()
+    ids, files = high - low + 1, chunk_files(spark, rows)
     for i in chunks:
-        first, last = low + int(step * i), low + int(step * (i + 1))
-        lines = lines_of(base.where(F.col("event_id").between(first, last - 1)))
+        # Chunk i holds the ids with (id - low) * CHUNKS // ids == i.
+        first, after = low - (-ids * i // CHUNKS), low - (-ids * (i + 1) // CHUNKS)
+        lines = lines_of(base.where(F.col("event_id").between(first, after - 1)))
         if resend is not None and i == CHUNKS - 1:
             lines = lines.unionByName(lines_of(base).where(resend))
         lines = as_json(lines) if body == "json" else lines
-        lines.select(F.col("value").cast("binary").alias("value"), "seq").repartition(
-            files_per_chunk(spark)
-        ).write.mode("append").parquet(folder)
-    return folder
+        message = F.col("value").cast("binary").alias("value")
+        lines.select(message, "seq").repartition(files).write.mode("append").parquet(folder)
+    return files
 
 
 _staged = {}
 
 
 def staged_messages(spark, sf_dir, body="pipe", resend=None):
-    """Message files for the stream queries, written once per session."""
+    """(folder, files per chunk) of the messages for the stream queries, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, body, str(resend))
-    if key not in _staged or not exists(spark, _staged[key]):
+    if key not in _staged or not exists(spark, _staged[key][0]):
         folder = work_folder(spark, "messages")
-        _staged[key] = write_chunks(spark, sf_dir, folder, range(CHUNKS), body, resend)
+        _staged[key] = folder, write_chunks(spark, sf_dir, folder, range(CHUNKS), body, resend)
     return _staged[key]

@@ -114,7 +114,7 @@ def bounds(size="2 minutes"):
 
 TOP10 = f"""with {DNS}, {TIMED} select {bounds()}, client_ip, count(*) n from {hop('timed')}
  group by ws, client_ip order by n desc, ws, client_ip limit 10"""
-CHUNK = "cast(floor((event_id - lo) * 4.0 / (hi - lo + 1)) as int)"
+CHUNK = "cast((event_id - lo) * 4 // (hi - lo + 1) as int)"
 # Rows of a batch are late against the largest time two batches earlier, less 10 seconds.
 LATE = f"""with {DNS}, ends as (select min(event_id) lo, max(event_id) hi from events),
 sent as (select client_ip, domain, {T} t, chunk from
@@ -185,9 +185,10 @@ ORACLE = {
  asked as (select seq, client_ip, {number('client_ip')} ip from dns)
  select seq, client_ip, case when lo < a.ip and a.ip < hi then net end net from asked a asof left join ends e on a.ip <= e.hi""",
     "cidr6_lookup": f"""with asked as (select event_id, user_id, {bits(EVENT6)} b from events where event_id % 1009 <> 5),
- nets as (select distinct net, member, len, left(b, len) p from (select *, {bits(BLOCK6)} b,
+ nets as (select net, member, len, left(b, len) p from (select *, {bits(BLOCK6)} b,
    '2001:db8:' || lower(to_hex(c_custkey % 2000)) || '::' || lower(to_hex(c_custkey % 16)) || ':0:' || lower(to_hex(c_custkey * 7 % 65536)) || '/' || len || '-' || net member
-   from (select *, [32, 44, 47, 48, 50, 64, 81, 92, 96, 128][c_custkey % 10 + 1] len, 'net_' || (c_custkey % 1000) net from customer))),
+   from (select *, [32, 44, 47, 48, 50, 64, 81, 92, 96, 128][c_custkey % 10 + 1] len, 'net_' || (c_custkey % 1000) net from customer))
+  qualify row_number() over (partition by len, p order by member) = 1),
  probes as (select event_id, b, len from asked, (select distinct len from nets)),
  best as (select event_id, net from probes q join nets n on q.len = n.len and left(q.b, q.len) = n.p
   qualify row_number() over (partition by event_id order by n.len desc, member) = 1)

@@ -284,10 +284,8 @@ def tumble_count(spark, sf_dir):
 
 
 def messages(spark, sf_dir, body="pipe", resend=None, files=None):
-    folder = X.staged_messages(spark, sf_dir, body, resend)
-    return readers.file_stream(
-        spark, folder, MESSAGE_SCHEMA, files_per_trigger=files or X.files_per_chunk(spark)
-    )
+    folder, per_chunk = X.staged_messages(spark, sf_dir, body, resend)
+    return readers.file_stream(spark, folder, MESSAGE_SCHEMA, files_per_trigger=files or per_chunk)
 
 
 def checkpoint(spark):

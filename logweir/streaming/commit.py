@@ -53,9 +53,10 @@ def commit_stream(
                 "batch": F.lit(batch_id),
             }
         ).persist()
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *HOUR, "batch"
-        ).format(fmt).save(f"{path}/data")
+        # Rebalanced, so that an hour gets few files, and a large hour more than one task.
+        placed.hint("rebalance", *HOUR).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*HOUR, "batch").format(fmt).save(f"{path}/data")
 
         seen = placed.where(F.col(time).isNotNull()).groupBy(*HOUR).agg(
             F.count(F.lit(1)).alias("rows"), F.unix_micros(F.max(time)).alias("max_micros")

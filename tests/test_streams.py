@@ -6,11 +6,11 @@ from conftest import values
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from logweir.operators import records, windows
+from logweir.operators import geo, records, windows
 from logweir.plans import catalog, layers
 from logweir.registry import fixtures as X
 from logweir.registry import queries as Q
-from logweir.schema import DEMO_SCHEMA, ODS_SCHEMA
+from logweir.schema import DEMO_SCHEMA, GEO_LABELS, ODS_SCHEMA
 from logweir.sources import readers
 from logweir.streaming import commit, sinks, upsert
 
@@ -160,10 +160,10 @@ def test_layers_prune_partitions(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(day" in plan and "ReadSchema: struct<client_ip:string>" in plan
 
 
-def test_console_and_generic_writer(spark, feed, tmp_path, capfd):
+def test_console(spark, feed, tmp_path):
     feed.add(line(1, "20240131120000"))
-    sinks.run_to_end(sinks.to_console(records.parse_records(feed.stream()), str(tmp_path / "c")))
-    assert "20240131120000" in capfd.readouterr().out
+    query = sinks.run_to_end(sinks.to_console(records.parse_records(feed.stream()), str(tmp_path / "c")))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1
 
 
 def test_catalog(spark, tmp_path):
@@ -182,9 +182,26 @@ def test_catalog(spark, tmp_path):
 
 
 def test_staged_chunks_are_in_time_order(spark, sf_dir):
-    folder = X.staged_messages(spark, sf_dir)
-    rows = spark.read.parquet(folder).withColumn("t", F.col("_metadata.file_modification_time"))
-    spans = rows.groupBy("t").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("t").collect()
-    firsts = [r.lo // 4 * 4 for r in spans]
+    folder, files = X.staged_messages(spark, sf_dir)
+    rows = spark.read.parquet(folder).withColumns(
+        {"t": F.col("_metadata.file_modification_time"), "f": F.col("_metadata.file_path")}
+    )
+    spans = rows.groupBy("t", "f").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("t").collect()
+    assert len(spans) == files * X.CHUNKS
+    chunks = [spans[i : i + files] for i in range(0, len(spans), files)]
+    for a, b in zip(chunks, chunks[1:]):
+        assert max(r.hi for r in a) < min(r.lo for r in b)
     assert spark.read.parquet(folder).count() == X.dns_lines(spark, sf_dir).count()
-    assert firsts[0] < firsts[-1]
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "stream_salts": 4, "salt_by": ["seq"]}])
+def test_located_stream_equals_located_table(spark, sf_dir, tmp_path, options):
+    segments = X.saved_geo(spark, sf_dir)
+    asked = records.parse_records(Q.messages(spark, sf_dir), keep=["seq"]).select("seq", "client_ip")
+    writer = sinks.stream_writer(
+        geo.locate(asked, segments, GEO_LABELS, **options), "parquet",
+        options={"path": str(tmp_path / "o"), "checkpointLocation": str(tmp_path / "c")},
+    )
+    sinks.run_to_end(sinks.triggered(writer).start())
+    batch = geo.locate(X.dns(spark, sf_dir).select("seq", "client_ip"), segments, GEO_LABELS)
+    assert values(spark.read.parquet(str(tmp_path / "o"))) == values(batch)
