@@ -50,15 +50,20 @@ def events(spark, sf_dir):
     return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
 
 
-def lines_of(events_df):
-    """Pipe-delimited messages with a sequence number that follows event time.
+def built(df, **columns):
+    """Computed columns, each worked out once per row.
 
-    The text comes out of an explode of one element: filters on it cannot be pushed below, which
-    would build it once per filter and again for the result.
+    They come out of an inlined one-element array. As plain projections they would be repeated in
+    every filter and expression on top of them, which a log read from storage would not be.
     """
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return df.selectExpr(f"inline(array(named_struct({fields})))")
+
+
+def lines_of(events_df):
+    """Pipe-delimited messages with a sequence number that follows event time."""
     copies = events_df.selectExpr("*", f"{COPIES} AS copy")
-    text = f"concat_ws('|', {', '.join(MESSAGE.values())})"
-    return copies.selectExpr("event_id * 4 + copy AS seq", f"explode(array({text})) AS value")
+    return built(copies, seq="event_id * 4 + copy", value=f"concat_ws('|', {', '.join(MESSAGE.values())})")
 
 
 def dns_lines(spark, sf_dir):
@@ -86,13 +91,14 @@ def geo_raw(spark, sf_dir):
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).join(
         regions, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return joined.selectExpr(
-        "if(k % 211 = 0, 'unknown', concat('10.', k % 9, '.', o div 256, '.', o % 256)) AS ip_start",
-        "concat('10.', k % 9, '.', t div 256, '.', t % 256) AS ip_end",
-        "r_name AS country",
-        "n_name AS province",
-        "concat('city_', k % 1000) AS city",
-        "concat('op_', k % 3) AS operator",
+    return built(
+        joined,
+        ip_start="if(k % 211 = 0, 'unknown', concat('10.', k % 9, '.', o div 256, '.', o % 256))",
+        ip_end="concat('10.', k % 9, '.', t div 256, '.', t % 256)",
+        country="r_name",
+        province="n_name",
+        city="concat('city_', k % 1000)",
+        operator="concat('op_', k % 3)",
     )
 
 
@@ -103,36 +109,39 @@ def saved_geo(spark, sf_dir):
 
 def cidr_blocks(spark, sf_dir):
     """IPv4 blocks of many sizes, one per customer, nested and repeated, some unreadable."""
-    return pin_utc(spark).read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
-        """case when c_custkey % 223 = 0 then 'x/33' when c_custkey % 199 = 0 then '0.0.0.0/0'
-        else concat('10.', c_custkey % 9, '.', c_custkey * 5 % 16, '.', c_custkey * 97 % 256, '/',
-        10 + c_custkey % 23) end AS cidr""",
-        "concat('net_', c_custkey % 1000) AS net",
+    return built(
+        pin_utc(spark).read.parquet(f"{sf_dir}/customer.parquet"),
+        cidr="""case when c_custkey % 223 = 0 then 'x/33' when c_custkey % 199 = 0 then '0.0.0.0/0'
+            else concat('10.', c_custkey % 9, '.', c_custkey * 5 % 16, '.', c_custkey * 97 % 256, '/',
+            10 + c_custkey % 23) end""",
+        net="concat('net_', c_custkey % 1000)",
     )
 
 
 def cidr6_blocks(spark, sf_dir):
     """IPv6 blocks, with prefix lengths on and off the digit boundaries."""
-    return pin_utc(spark).read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
-        """concat('2001:db8:', lower(hex(c_custkey % 2000)), '::', lower(hex(c_custkey % 16)), ':0:',
-        lower(hex(c_custkey * 7 % 65536)), '/',
-        element_at(array(32, 44, 47, 48, 50, 64, 81, 92, 96, 128), cast(c_custkey % 10 + 1 as int))) AS cidr""",
-        "concat('net_', c_custkey % 1000) AS net",
+    return built(
+        pin_utc(spark).read.parquet(f"{sf_dir}/customer.parquet"),
+        cidr="""concat('2001:db8:', lower(hex(c_custkey % 2000)), '::', lower(hex(c_custkey % 16)), ':0:',
+            lower(hex(c_custkey * 7 % 65536)), '/', element_at(
+            array(32, 44, 47, 48, 50, 64, 81, 92, 96, 128), cast(c_custkey % 10 + 1 as int)))""",
+        net="concat('net_', c_custkey % 1000)",
     )
 
 
 def ipv6_clients(spark, sf_dir):
     """An IPv6 address per event in three spellings: padded, compressed, upper case."""
-    # An explode of one element for the same reason as in lines_of.
-    return events(spark, sf_dir).selectExpr(
-        "event_id",
-        """explode(array(case when event_id % 1009 = 5 then 'bad-ip'
-        when event_id % 3 = 0 then concat('2001:0db8:', lpad(lower(hex(user_id % 65536)), 4, '0'),
-            ':0000:0000:', lpad(lower(hex(event_id % 16)), 4, '0'), ':0000:', lpad(lower(hex(event_id % 65536)), 4, '0'))
-        when event_id % 3 = 1 then concat('2001:db8:', lower(hex(user_id % 65536)), '::',
-            lower(hex(event_id % 16)), ':0:', lower(hex(event_id % 65536)))
-        else concat('2001:DB8:', hex(user_id % 65536), ':0:0:', hex(event_id % 16), ':0:',
-            hex(event_id % 65536)) end)) AS client_ip""",
+    return built(
+        events(spark, sf_dir),
+        event_id="event_id",
+        client_ip="""case when event_id % 1009 = 5 then 'bad-ip'
+            when event_id % 3 = 0 then concat('2001:0db8:', lpad(lower(hex(user_id % 65536)), 4, '0'),
+                ':0000:0000:', lpad(lower(hex(event_id % 16)), 4, '0'), ':0000:',
+                lpad(lower(hex(event_id % 65536)), 4, '0'))
+            when event_id % 3 = 1 then concat('2001:db8:', lower(hex(user_id % 65536)), '::',
+                lower(hex(event_id % 16)), ':0:', lower(hex(event_id % 65536)))
+            else concat('2001:DB8:', hex(user_id % 65536), ':0:0:', hex(event_id % 16), ':0:',
+                hex(event_id % 65536)) end""",
     )
 
 
