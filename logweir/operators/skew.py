@@ -1,20 +1,24 @@
 """Work on keys that hold a large share of all rows: measured broadcast, salted joins, staged sums."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from logweir.functions.parsing import network_prefix
 from logweir.session import ensure_checkpoint_dir
 
+FIXED_WIDTH = (BooleanType, DatetimeType, NumericType)
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 100_000
 
 
 def measured_bytes(df):
-    """Size of a table's rows in memory: its text plus a fixed share per row and column."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    """Size of a table's rows in memory: its text plus a fixed share per row and column.
+
+    Arrays, maps and structs are counted by their text form.
+    """
+    sized = [f.name for f in df.schema.fields if not isinstance(f.dataType, FIXED_WIDTH)]
+    text = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in sized), F.lit(0))
     rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text.cast("bigint")), F.lit(0))).first()
     return rows * (16 + 12 * len(df.columns)) + chars
 

@@ -1,7 +1,13 @@
 """The jobs put together: raw layer, detail layer and windowed top-k, in batch and in stream."""
 
 from logweir.operators.geo import detail_rows
-from logweir.operators.records import domain_ends_with, ods_rows, parse_records, with_event_time
+from logweir.operators.records import (
+    domain_ends_with,
+    ods_rows,
+    parse_records,
+    rejected_messages,
+    with_event_time,
+)
 from logweir.operators.windows import client_window_counts, top_k
 from logweir.sources.readers import table_stream
 from logweir.streaming.sinks import to_table
@@ -13,6 +19,12 @@ def ods_load(messages, table, checkpoint, path=None, body="json", keep=(), every
     return to_table(rows, table, checkpoint, path, every=every)
 
 
+def rejects_load(messages, table, checkpoint, path=None, body="json", keep=(), every=None):
+    """The messages that never reach the raw table, with the reason, in a table of their own."""
+    rows = rejected_messages(messages, body, keep=keep, need_date=True)
+    return to_table(rows, table, checkpoint, path, partition_by=("reason",), every=every)
+
+
 def dwd_load(spark, ods_table, segments, table, checkpoint, path=None, keep=(), every=None, **options):
     """Follow the raw table and fill the detail table with located rows."""
     rows = detail_rows(table_stream(spark, ods_table), segments, keep, **options)

@@ -139,13 +139,16 @@ NORMAL = """client_ip, lower(domain) as domain, "time", target_ip, rcode, query_
 BLANK_NULL = ", ".join(f"nullif({c}, '') as {c}" for c in RECORD.split(", "))
 ARRIVED = "arrived as (select client_ip, timestamp '2024-03-01 00:00:00' + to_seconds(event_id * 3) t from dns where domain like '%com')"
 
+REJECTS = f"""with {LINES}, {SPLIT} select seq,
+ case when seq % 107 = 3 then value else '{{"message":"' || replace(value, '|', ',') || '"}}' end as value,
+ case when seq % 107 = 3 then 'no message' when len(a) <> 9 then 'field count' else 'short time' end as reason
+ from split where seq % 107 = 3 or len(a) <> 9 or length(a[3]) < 8"""
+
 ORACLE = {
     "parse_pipe": f"with {DNS} select seq, {RECORD} from dns",
     "parse_json": f"with {JSON_DNS} select seq, {RECORD} from jdns",
-    "parse_rejects": f"""with {LINES}, {SPLIT} select seq,
- case when seq % 107 = 3 then value else '{{"message":"' || replace(value, '|', ',') || '"}}' end as value,
- case when seq % 107 = 3 then 'no message' when len(a) <> 9 then 'field count' else 'short time' end as reason
- from split where seq % 107 = 3 or len(a) <> 9 or length(a[3]) < 8""",
+    "parse_rejects": REJECTS,
+    "rejects_load": REJECTS,
     "parse_csv_ddl": f"with {LINES}, {CSV_ROWS} select *, {stamp(T)} event_time from csvrows",
     "ods_rows": f'with {DNS} select seq, {RECORD}, {PARTS} from dns where length("time") >= 8',
     "composite_id": f"with {DNS} select seq, {ID} id, {RECORD} from dns",

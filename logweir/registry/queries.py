@@ -386,6 +386,16 @@ def ods_load(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def rejects_load(spark, sf_dir):
+    name = new_table("rejects")
+    stream = messages(spark, sf_dir, "json")
+    sinks.run_to_end(
+        layers.rejects_load(stream, name, checkpoint(spark), work_folder(spark, "rejects"), keep=["seq"])
+    )
+    return spark.table(name)
+
+
 @query
 def dwd_load(spark, sf_dir):
     ods, dwd = new_table("ods"), new_table("dwd")

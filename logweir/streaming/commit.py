@@ -75,9 +75,15 @@ def commit_stream(
         placed.unpersist()
 
         still_open = [tuple(r)[:4] for r in state if not r["over"]]
-        done = committed_partitions(spark, path).where(F.col("batch") < batch_id)
-        done = {(r["dt"], r["hr"]) for r in done.select(*HOUR).collect()}
-        due = [r for r in state if r["over"] and (r["dt"], r["hr"]) not in done]
+        due = [r for r in state if r["over"]]
+        if due:
+            # Late rows can bring back an hour that is published already.
+            first = min(f"{r['dt']} {r['hr']}" for r in due)
+            done = committed_partitions(spark, path).where(
+                (F.col("batch") < batch_id) & (F.concat_ws(" ", *HOUR) >= first)
+            )
+            done = {tuple(r) for r in done.select(*HOUR).collect()}
+            due = [r for r in due if (r["dt"], r["hr"]) not in done]
         for r in due:
             mark_success(spark, f"{path}/data/dt={r['dt']}/hr={r['hr']}")
         if due:
