@@ -97,11 +97,17 @@ def locate_v6(
     probes = addresses.withColumn("_len", F.explode(_lengths(lengths)))
     probes = probes.withColumn("_net", hex_bounds(F.col("_hex"), F.col("_len"))[0])
     strict = None if inclusive else (F.col("_hex") != F.col("_net")) & (F.col("_hex") != F.col("_last"))
+    nets = blocks.select("_len", "_net", "_last")
     hits = lookup_join(
-        probes, blocks, ["_len", "_net"], "inner", strict, ["_hex"], broadcast_bytes, stored=True, **join_options
+        probes, nets, ["_len", "_net"], "inner", strict, ["_hex"], broadcast_bytes, stored=True, **join_options
     )
-    best = F.max(F.struct("_len", *labels)).alias("_best")
-    answers = hits.groupBy("_hex").agg(best).select("_hex", *[f"_best.{c}" for c in labels]).checkpoint()
+    # The longest length is a plain number, so this is a hash aggregation; labels are fetched after.
+    longest = hits.groupBy("_hex").agg(F.max("_len").alias("_len"))
+    longest = longest.withColumn("_net", hex_bounds(F.col("_hex"), F.col("_len"))[0])
+    answers = lookup_join(
+        longest, blocks.drop("_last"), ["_len", "_net"], "inner", None, ["_hex"], broadcast_bytes, stored=True, **join_options
+    )
+    answers = answers.select("_hex", *labels).checkpoint()
     joined = lookup_join(
         keyed, answers, ["_hex"], "left", None, salt_by or df.columns, broadcast_bytes, stored=True, **join_options
     )
