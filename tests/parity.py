@@ -57,7 +57,7 @@ if __name__ == "__main__":
     con = oracle_connection(sf_dir)
     bad = 0
     for name, fn in entry.queries().items():
-        if wanted and name not in wanted:
+        if wanted and name not in wanted or name not in entry.oracle_sql():
             continue
         started = time.time()
         try:
