@@ -1,9 +1,9 @@
 """Helpers the corpus operators share: local bindings, words and shingles, stored intermediates."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from logweir.session import work_folder
+
 #: A word is a run of letters and digits, read in lower case.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -42,10 +42,7 @@ def shingles(text, k=5, whole=False):
 
 def shared_folder(spark, label):
     """A fresh folder under the shared folder the cluster names in `spark.checkpoint.dir`."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{base.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex[:12]}"
+    return work_folder(spark, f"corpus/{label}")
 
 
 def stored(df, label):

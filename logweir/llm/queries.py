@@ -2,13 +2,32 @@
 
 from pyspark.sql import functions as F
 
-from logweir.llm import quality
+from logweir.llm import chat, quality, secrets, urls
 
 
 def read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_secrets(spark, sf_dir):
+    rows = secrets.scanned(read(spark, sf_dir, "documents"))
+    every = F.sort_array(F.concat("base", "added"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k, *_ in secrets.KINDS]
+    return rows.select("doc_id", *counts, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                       secrets.joined(every).alias("spans"))
+
+
+def op7_url_filter(spark, sf_dir):
+    return urls.judged(read(spark, sf_dir, "pages"))
+
+
+def op8_chat_format(spark, sf_dir):
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], given.schema)
+    return chat.digest(given.unionByName(extra))
+
+
 def op9_quality_rules(spark, sf_dir):
     rows = quality.judged(read(spark, sf_dir, "documents"))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -16,5 +35,8 @@ def op9_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
+    "op7_url_filter": op7_url_filter,
+    "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }
