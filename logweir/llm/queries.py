@@ -2,13 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from logweir.llm import chat, quality, secrets, urls
+from logweir.llm import chat, classifier, decontam, lines, near, pieces, quality, secrets, tokens, urls
 
 
 def read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_decontaminate(spark, sf_dir):
+    """Every benchmark item that a document holds to four fifths or more."""
+    return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_token_counts(spark, sf_dir):
+    return tokens.counted(read(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark, sf_dir):
     rows = secrets.scanned(read(spark, sf_dir, "documents"))
     every = F.sort_array(F.concat("base", "added"))
@@ -17,6 +26,33 @@ def op3_secrets(spark, sf_dir):
                        secrets.joined(every).alias("spans"))
 
 
+def op4_quality_classifier(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    trees = classifier.trained(docs, labels.where(~held))
+    rows = classifier.scored(docs, trees)
+    return rows.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op5_sampled_pieces(spark, sf_dir):
+    """Sampled pieces of every text, and whether decoding them gives the text back."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = docs.withColumn("ids", pieces.encoded(F.col("text"), F.col("doc_id")))
+    back = cut.withColumn("back", pieces.decoded(F.col("ids")))
+    return back.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("back", 256).alias("decoded_sha256"), F.col("back").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+def op6_line_dedup(spark, sf_dir):
+    """Every document with its lines before and after, and the digest of what is left."""
+    docs = read(spark, sf_dir, "documents").withColumn("_n", F.size(F.split("text", "\n")))
+    left = lines.without_boilerplate(docs)
+    n = F.size(F.split("text", "\n"))
+    return left.select("doc_id", F.col("_n").cast("bigint").alias("n_lines"), n.cast("bigint").alias("n_left"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_url_filter(spark, sf_dir):
     return urls.judged(read(spark, sf_dir, "pages"))
 
@@ -34,9 +70,21 @@ def op9_quality_rules(spark, sf_dir):
     return rows.select("doc_id", *figures, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op10_near_dedup(spark, sf_dir):
+    """Each document with the id of its group, the smallest of the group's document ids."""
+    rows = near.classes(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.coalesce("first_id", "doc_id").alias("class_id"), "n_links")
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_token_counts": op2_token_counts,
     "op3_secrets": op3_secrets,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_sampled_pieces": op5_sampled_pieces,
+    "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_dedup": op10_near_dedup,
 }
