@@ -1,7 +1,9 @@
 """Corpus pipeline: documents through quality rules, line and near-duplicate removal, decontamination
 and piece encoding. Each stage reads what the one before has written."""
 
-from logweir.llm import quality
+from pyspark.sql import functions as F
+
+from logweir.llm import decontam, lines, near, pieces, quality
 from logweir.llm.common import stored
 
 
@@ -10,8 +12,33 @@ def quality_rules(spark, docs, sf_dir):
     return quality.keep_good(docs)
 
 
+def line_dedup(spark, docs, sf_dir):
+    """Lines found on many sites go, but for their first place."""
+    return lines.without_boilerplate(docs)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document of each group of near-duplicates stays."""
+    return near.one_of_each(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def piece_encoding(spark, docs, sf_dir):
+    """The documents with sampled piece ids, and the text those ids decode to."""
+    cut = docs.withColumn("piece_ids", pieces.encoded(F.col("text"), F.col("doc_id")))
+    return cut.withColumn("decoded", pieces.decoded(F.col("piece_ids")))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("piece_encoding", piece_encoding),
 ]
 
 #: Connected groups of near-duplicates and seeded piece sampling have no SQL form.
