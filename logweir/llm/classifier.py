@@ -8,7 +8,7 @@ are empty ones; repeated rows are scored each on their own; without labels every
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from logweir.llm.common import let, text_of
@@ -101,19 +101,21 @@ def trained(docs, labels, label="quality", sample=20_000, doc_id="doc_id", text=
     """Trees fitted on the `sample` labelled rows of the smallest id hashes (all, if there are fewer)."""
     chosen = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(
         F.max(label).alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id")).select(
-        F.struct("_id", "_y").alias("_row"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text"))
+    texts = plain.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select(F.struct("_id", "_y").alias("_row"), "text")
     rows = features(texts, "_row").orderBy("doc_id._id", *FEATURES).limit(sample).select("doc_id._y", *FEATURES).toPandas()
     return fitted(rows[FEATURES].to_numpy(dtype=float), rows["_y"].to_numpy(dtype=float))
 
 
 def scored(docs, trees, doc_id="doc_id", text="text"):
     """doc_id, score, predicted for every document."""
-    model = docs.sparkSession.sparkContext.broadcast(trees)
 
-    @F.pandas_udf("double")
-    def score(f: pd.DataFrame) -> pd.Series:
-        return pd.Series(model.value.scores(f.to_numpy(dtype=float)))
+    def walk(batches):
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in FEATURES])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(trees.scores(x))], ["doc_id", "score"])
 
-    rows = features(docs, doc_id, text).select("doc_id", score(F.struct(*FEATURES)).alias("score"))
+    rows = features(docs, doc_id, text)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.mapInArrow(walk, f"doc_id {kind}, score double")
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

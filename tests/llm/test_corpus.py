@@ -1,0 +1,191 @@
+"""The other corpus operators and the pipeline: brute force, round trips, held-out accuracy and edge rows."""
+
+import collections
+import itertools
+
+import numpy as np
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from logweir.llm import classifier, decontam, lines, near, pieces, quality, tokens
+from logweir.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, source string, kept string, _id string, ids string"
+
+
+def made(spark, rows):
+    """Rows of (doc_id, text, source) with extra columns whose names the operators use inside."""
+    return spark.createDataFrame([(*r, "k", "i", "g") for r in rows], DOCS)
+
+
+def prose(seed, n=120):
+    return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 5000, n))
+
+
+def grams(text, k=5):
+    w = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+    return [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [tuple(w)] if w else []
+
+
+def groups(texts):
+    """Smallest id of the group of each id, by all pairs."""
+    sets = {i: collections.Counter(grams(t)) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    for a, b in itertools.combinations(sorted(i for i in sets if sets[i]), 2):
+        if sum((sets[a] & sets[b]).values()) >= 0.8 * sum((sets[a] | sets[b]).values()):
+            low, high = sorted((group[a], group[b]))
+            group = {i: low if g == high else g for i, g in group.items()}
+    return group
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+
+
+def test_near_groups_equal_all_pairs(spark, sf_dir, texts):
+    got = {r.doc_id: r.class_id for r in QUERIES["op10_near_dedup"](spark, sf_dir).collect()}
+    assert got == groups(texts)
+
+
+def test_near_edges(spark):
+    a = prose(1)
+    rows = [(1, a, "s"), (2, a, "s"), (2, a, "s"), (3, a + " tail", "s"), (4, prose(2), "s"), (5, None, "s"), (6, "", "s"),
+            (7, "one two", "s"), (8, "One, two", None), (None, "a b c d e f " * 3000, "s")]
+    df = made(spark, rows)
+    got = near.classes(df)
+    assert got.count() == len(rows)
+    kept = near.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 4, 5, 6, 7, None]
+    assert near.one_of_each(df.limit(0)).count() == 0
+
+
+def test_darts_estimate_weighted_similarity():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 2**63, 300).astype(np.uint64)
+    a, b = rng.uniform(0.2, 4, 300), rng.uniform(0.2, 4, 300)
+    same = (near.darts(ids, a, 2000) == near.darts(ids, b, 2000)).mean()
+    assert abs(same - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.04
+
+
+def test_contained_items_equal_brute_force(spark, sf_dir, texts):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    want = set()
+    for item in items:
+        need = {g for g in grams(item.text) if len(g) == 5}
+        want |= {(i, item.item_id) for i, t in texts.items() if need and len(need & set(grams(t))) >= 0.8 * len(need)}
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op1_decontaminate"](spark, sf_dir).collect()}
+    assert got == want
+
+
+def test_decontamination_edges(spark):
+    item = prose(3, 30)
+    bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (1, item)], "item_id long, text string")
+    cut = " ".join(item.split()[:20])
+    rows = [(1, f"{prose(4, 3000)} {item} {prose(5, 3000)}", "s"), (2, cut, "s"), (3, None, "s"), (4, "", "s"), (None, item, "s"), (1, item, "s")]
+    df = made(spark, rows)
+    assert sorted(decontam.contained(df, bench).select("doc_id").collect(), key=str) == [(1,), (None,)]
+    assert sorted(r.doc_id for r in decontam.clean(df, bench).collect()) == [2, 3, 4]
+    assert decontam.clean(df, bench.limit(0)).count() == len(rows)
+    assert decontam.clean(df.limit(0), bench).columns == df.columns
+
+
+def test_lines_on_many_sites_go_but_for_the_first(spark):
+    rows = [(i, f"own {i}\nShared line\n\nfew {i // 3}", f"s{i}") for i in range(6)]
+    rows += [(10, None, "s1"), (11, "", "s1"), (12, "shared line ", None), (12, "shared line ", None)] + [(20 + i, "one site", "s1") for i in range(9)]
+    got = lines.without_boilerplate(made(spark, rows), threshold=5)
+    by = {r.doc_id: r.text for r in got.collect()}
+    assert got.count() == len(rows) and got.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
+    assert by[0] == rows[0][1] and by[3] == "own 3\n\nfew 1" and by[10] is None and by[11] == by[12] == "" and by[28] == "one site"
+    assert lines.without_boilerplate(made(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [3, 40, 200])
+def test_line_spread_is_exact_near_the_threshold(spark, threshold):
+    rows = [(n * 1000 + s, f"line {n}", f"s{s}") for n in (2, 3, 39, 40, 41, 300) for s in range(n)]
+    found = lines.spread(lines.line_hashes(made(spark, rows), "doc_id", "source", "text"), threshold).collect()
+    assert len(found) == sum(n >= threshold for n in (2, 3, 39, 40, 41, 300))
+
+
+@pytest.mark.parametrize("block", [7, 1 << 16])
+def test_token_counts(spark, texts, block):
+    code = tokens.encoding(tokens.VOCABULARY)
+    rows = [(i, t, "s") for i, t in list(texts.items())[:20]] + [(-1, None, "s"), (-2, "", "s"), (None, "x", "s"), (-3, "<|endoftext|>", "s")]
+    got = tokens.counted(made(spark, rows).repartition(3), block=block).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, len(code.encode_ordinary(t or ""))) for i, t, _ in rows), key=str)
+    assert tokens.counted(made(spark, rows).limit(0)).count() == 0
+
+
+def test_pieces_round_trip(spark, texts):
+    hard = ["", " ", "  a  b ", "▁ mark ▁▁", "\n\n x\n", "😀\u0000é", "\t" * 50, "q" * 40000, None]
+    rows = [(i, t, "s") for i, t in enumerate([*hard, *list(texts.values())[:30]])]
+    df = made(spark, rows)
+    cut = df.withColumn("p", pieces.encoded(F.col("text"), F.col("doc_id")))
+    first = {r.doc_id: r for r in cut.withColumn("back", pieces.decoded(F.col("p"))).collect()}
+    assert all(r.back == r.text for r in first.values())
+    again = {r.doc_id: r.p for r in cut.repartition(5).collect()}
+    assert all(first[i].p == again[i] for i in again)
+    other = df.withColumn("p", pieces.encoded(F.col("text"), F.col("doc_id"), seed=1)).collect()
+    assert any(r.p != again[r.doc_id] for r in other)
+
+
+def test_pieces_are_sampled_by_their_weights():
+    v = pieces.Vocabulary(pieces.MODEL)
+    seen = collections.Counter(tuple(v.sampled("the", k)) for k in range(4000))
+    word, weights = " the", {}
+    for cuts in itertools.product([0, 1], repeat=3):
+        edges = [0, *[i + 1 for i, c in enumerate(cuts) if c], 4]
+        parts = [word[a:b] for a, b in itertools.pairwise(edges)]
+        if all(p in v.ids for p in parts):
+            weights[tuple(v.ids[p] for p in parts)] = np.exp(sum(v.weight[p] for p in parts))
+    total = sum(weights.values())
+    assert set(seen) <= set(weights)
+    assert all(abs(seen[p] / 4000 - w / total) < 0.03 for p, w in weights.items())
+
+
+def test_classifier_on_held_out_rows(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.01")
+    rows = QUERIES["op4_quality_classifier"](spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    held = rows.where("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.quality for r in held) >= 0.97 * len(held) > 0
+    assert rows.where("score < 0 or score > 1 or score is null").count() == 0
+
+
+def test_classifier_edges(spark):
+    df = made(spark, [(1, None, "s"), (2, "", "s"), (2, "", "s"), (None, "x " * 20000, "s")])
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    trees = classifier.trained(df, labels)
+    assert [r.score for r in classifier.scored(df, trees).collect()] == [0.5] * 4
+    assert classifier.scored(df.limit(0), trees).count() == 0
+
+
+def test_quality_figures_and_filter(spark, sf_dir, texts):
+    for r in QUERIES["op9_quality_rules"](spark, sf_dir).collect():
+        t = texts[r.doc_id] or ""
+        words = regex.findall(r"[^\x20\x09-\x0D]+", t)
+        seen = [ln for ln in t.split("\n") if regex.search(r"[^\x20\x09-\x0D]", ln)]
+        windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+        often = collections.Counter(windows)
+        covered = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(3)}
+        want = (len(words), sum(map(len, words)), sum(t.count(c) for c in "#*$%&|<>"), len(seen) - len(set(seen)), len(covered))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(words) < 50 or 100 * len(covered) > 50 * len(words))
+    df = made(spark, [(1, None, "s"), (2, "", "s"), (3, "the cat and a dog of it " + prose(8, 200), "s")])
+    assert quality.keep_good(df).columns == df.columns
+    assert [r.doc_id for r in quality.keep_good(df, [("words", "n_words", 50, None)]).collect()] == [3]
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "piece_encoding"]
+    assert out.columns == [*docs.columns, "piece_ids", "decoded"]
+    rows = out.collect()
+    assert 0 < len(rows) < docs.count() and all(r.decoded == r.text for r in rows)
+    sets = groups({r.doc_id: r.text for r in rows})
+    assert len(set(sets.values())) == len(rows)
+    assert decontam.contained(out, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).count() == 0
