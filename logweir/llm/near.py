@@ -9,11 +9,13 @@ leaders are the same few texts in all bands, which members share. Texts without
 A text of fewer than five words is one shingle. Null ids are kept and never lead a group.
 """
 
+import hashlib
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logweir.llm.common import WORD, shingles, stored, text_of
+from logweir.llm.common import WORD, stored, text_of, words
 
 BANDS, ROWS = 24, 5
 LEADERS = 4
@@ -66,44 +68,52 @@ def darts(elements, weights, n):
         limit *= 2
 
 
-def signatures(grams, n=BANDS * ROWS):
-    """Column of signatures for a column of shingle hashes with repeats, none of them empty."""
-
-    @F.pandas_udf("array<bigint>")
-    def throw(rows: pd.Series) -> pd.Series:
-        out = []
-        for row in rows:
-            values, counts = np.unique(np.asarray(row, dtype=np.int64), return_counts=True)
-            out.append(darts(values.view(np.uint64), counts.astype(float), n).view(np.int64))
-        return pd.Series(out, dtype=object)
-
-    return throw(grams)
+def strips(hashes, k):
+    """Sorted hashes of the k-word windows of a text's word hashes; a window's repeats differ by their number.
 
-
-def weighted_jaccard(a, b):
-    """Weighted Jaccard of two sorted arrays with repeats: repeats are numbered, so sets can be compared."""
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
+    Each is one strip of unit width of the window's weight, its count.
+    """
+    h = np.asarray(hashes, dtype=np.int64).view(np.uint64)
+    width = min(k, len(h))
+    if not width:
+        return h
+    with np.errstate(over="ignore"):
+        found = np.full(len(h) - width + 1, width, dtype=np.uint64)
+        for j in range(width):
+            found = mixed(found * np.uint64(0x9E3779B97F4A7C15) + h[j:len(h) - width + 1 + j])
+        found.sort()
+        first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+        number = np.arange(len(found)) - np.repeat(first, np.diff(np.r_[first, len(found)]))
+        found = np.where(number > 0, mixed(found + number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), found)
+    return np.sort(found)
 
 
-def numbered(grams):
-    """Sorted hashes in which the repeats of a value are hashed with their number, so that all differ."""
+def signed(rows, k, n=BANDS * ROWS):
+    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, hashes)."""
 
-    def number(s):
-        # The first place of a value less its own place is its number among the equal ones.
-        state = F.struct(F.lit(0).alias("run"), F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("out"))
+    def throw(batches):
+        for batch in batches:
+            made = [strips(row, k) for row in batch.column("hashes").to_pylist()]
+            keys = [hashlib.blake2b(g.tobytes(), digest_size=16).hexdigest() if len(g) else None for g in made]
+            thrown = [darts(g, np.ones(len(g)), n).view(np.int64) if len(g) else None for g in made]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.string()),
+                 pa.array([g.view(np.int64) for g in made], pa.list_(pa.int64())), pa.array(thrown, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "key", "grams", "signature"])
 
-        def step(acc, x):
-            run = F.when(x.eqNullSafe(acc["last"]), acc["run"] + 1).otherwise(F.lit(0))
-            return F.struct(run.alias("run"), x.alias("last"), F.concat(acc["out"], F.array(F.when(run == 0, x).otherwise(F.xxhash64(x, run)))).alias("out"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(throw, f"doc_id {kind}, text_hash long, key string, grams array<long>, signature array<long>")
 
-        return F.when(F.size(F.array_distinct(s)) == F.size(s), s).otherwise(F.aggregate(s, state, step, lambda acc: acc["out"]))
 
-    return F.get(F.transform(F.array(F.sort_array(grams)), number), F.lit(0))
+def weighted_jaccard(a, b):
+    """Weighted Jaccard of two arrays of strips: repeats are numbered, so they compare as sets."""
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
 
 
-def linked(reps, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
-    """Pairs (a, b) of different classes whose texts are similar. `reps` has key, grams and signature."""
+def linked(texts, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
+    """Pairs (a, b) of different classes whose texts are similar. `texts` has key, grams and signature."""
+    reps = texts.select("key", "signature").dropDuplicates(["key"])
     cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
     entries = reps.select("key", F.explode(cut).alias("bucket"))
     chief = [F.min(F.struct(F.xxhash64(F.lit(s), "key").alias("h"), "key"))["key"].alias(f"l{s}") for s in range(leaders)]
@@ -112,8 +122,11 @@ def linked(reps, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
     ordered = met.where(F.col("key") != F.col("other")).select(
         F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     pairs = stored(ordered, "near-pairs")
-    left = reps.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
-    right = reps.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
+    # Only texts that met another are compared, and their strips are fetched once per class.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    met = stored(texts.select("key", "grams").join(asked, "key", "left_semi").dropDuplicates(["key"]), "near-met")
+    left = met.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
+    right = met.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
     alike = weighted_jaccard(F.col("ga"), F.col("gb")) >= threshold
     # Sizes too far apart rule a pair out before the arrays are compared.
     close = F.least(F.size("ga"), F.size("gb")) >= threshold * F.greatest(F.size("ga"), F.size("gb"))
@@ -142,13 +155,10 @@ def classes(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
     without words. n_links counts the similar classes that were compared with the document's own.
     """
     t = text_of(text)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), shingles(t, k, whole=True).alias("raw"))
-    rows = rows.withColumn("grams", numbered(F.col("raw")))
-    key = F.when(F.size("grams") > 0, F.concat(F.hex(F.xxhash64("grams")), F.hex(F.xxhash64(F.lit(1), "grams"))))
-    rows = stored(rows.select("doc_id", "text_hash", key.alias("key"), "grams", "raw"), "near-texts")
-    reps = rows.where(F.col("key").isNotNull()).select("key", "grams", "raw").dropDuplicates(["key"])
-    reps = stored(reps.select("key", "grams", signatures(F.col("raw")).alias("signature")), "near-classes")
-    links = linked(reps, threshold)
+    hashes = F.transform(words(t), lambda w: F.xxhash64(w)).alias("hashes")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), hashes)
+    rows = stored(signed(rows, k), "near-texts")
+    links = linked(rows.where(F.col("key").isNotNull()), threshold)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     named = components(links).join(degree, "key", "left")
     members = rows.select("doc_id", "text_hash", "key").join(named, "key", "left")
