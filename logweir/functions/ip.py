@@ -56,8 +56,8 @@ def mask_host_range(ip, netmask):
     """Host addresses of a network as `first-->last`, the network given by a dotted mask."""
     mask = ip_to_long(netmask)
     network = ip_to_long(ip).bitwiseAND(mask)
-    last = network.bitwiseXOR(mask).bitwiseXOR(big(ALL_ONES))
-    return F.concat(long_to_ip(network + 1), F.lit("-->"), long_to_ip(last - 1))
+    size = big(ALL_ONES) + 1 - mask
+    return F.concat(long_to_ip(network + 1), F.lit("-->"), long_to_ip(network + size - 2))
 
 
 def ipv6_hex(ip):
@@ -76,15 +76,24 @@ def ipv6_hex(ip):
     full = F.lower(F.replace(edged, gap, F.concat(F.lit(":"), zeros)))
     padded = F.concat(F.lit("000"), F.replace(full, F.lit(":"), F.lit(":000")))
     digits = F.regexp_replace(padded, "0*([0-9a-f]{4})(:|$)", "$1")
-    return F.when(full.rlike("^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"), digits)
+    # One gap at most, and between two groups it stands for at least one more.
+    sound = ~ip.rlike("::.*::") & (~ip.rlike("^[^:].*::.*[^:]$") | (groups <= 7))
+    return F.when(sound & full.rlike("^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"), digits)
 
 
 def ipv6_text(digits):
     """32 hex digits to text; the first run of two or more zero groups becomes `::`."""
-    grouped = F.regexp_replace(digits, "([0-9a-f]{4})(?!$)", "$1:")
-    plain = F.regexp_replace(grouped, r"\b0{1,3}(?=[0-9a-f])", "")
-    short = F.regexp_replace(plain, r"^(.*?)(?:^|:)(?:0+(?::|$)){2,8}", "$1::")
-    return F.when(F.length(digits) == 32, short)
+    groups = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.regexp_replace(F.substring(digits, i * 4 + 1, F.lit(4)), "^0{1,3}", ""))
+
+    def shortened(g):
+        marks = F.array_join(F.transform(g, lambda x: F.when(x == "0", "0").otherwise("x")), "")
+        run = F.regexp_extract(marks, "00+", 0)
+        at = F.locate("00", marks)
+        head = F.array_join(F.slice(g, F.lit(1), F.greatest(at - 1, F.lit(0))), ":")
+        tail = F.array_join(F.slice(g, F.greatest(at + F.length(run), F.lit(1)), F.lit(8)), ":")
+        return F.when(at > 0, F.concat(head, F.lit("::"), tail)).otherwise(F.array_join(g, ":"))
+
+    return F.when(F.length(digits) == 32, F.get(F.transform(F.array(groups), shortened), F.lit(0)))
 
 
 def hex_bounds(digits, length):

@@ -99,3 +99,14 @@ def test_hex_bounds(spark):
         both = apply(spark, lambda v: F.array(*I.hex_bounds(I.ipv6_hex(v), F.lit(length))),
                      ["2001:db8:abcd:1234:5678:9abc:def0:1357"])
         assert both == [[f"{int(net[0]):032x}", f"{int(net[-1]):032x}"]]
+
+
+@pytest.mark.parametrize("text", ["a::b::c:d:e:f", "1::2:3:4:5:6:7:8", "::1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7"])
+def test_ipv6_gap_must_be_one_and_stand_for_a_group(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(I.ipv6_hex(F.col("t"))).first()[0] is None
+
+
+@pytest.mark.parametrize("text", ["1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1::3:4:5:6:7:8", "::", "1::"])
+def test_ipv6_gap_of_one_group_is_read(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").select(I.ipv6_hex(F.col("t"))).first()[0]
+    assert got == f"{int(ipaddress.ip_address(text)):032x}"
