@@ -21,7 +21,12 @@ def op2_token_counts(spark, sf_dir):
 def op3_secrets(spark, sf_dir):
     rows = secrets.scanned(read(spark, sf_dir, "documents"))
     every = F.sort_array(F.concat("base", "added"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k, *_ in secrets.KINDS]
+
+    def found(kind):
+        # A lambda with a second parameter would be handed the position there.
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [found(kind) for kind, *_ in secrets.KINDS]
     return rows.select("doc_id", *counts, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
                        secrets.joined(every).alias("spans"))
 
