@@ -4,8 +4,9 @@ A shingle of weight w owns the strip [0, w) of a plane whose height is rank. Dar
 process seeded by the shingle alone; each dart belongs to one coordinate, and a document's coordinate is its
 earliest dart. Only darts below a rank that fills all coordinates are thrown, so the work is a shingle's
 first dart plus a few hundred. Texts with equal shingle counts are one class from the start and are joined as
-one. In each bucket members are compared with the leaders of the bucket, so no bucket emits all its pairs;
-leaders are the same few texts in all bands, which members share. Texts without words belong to no group.
+one. In each bucket members are compared with a few of them, then with more of those that are still of other
+groups, until a bucket holds no two members of different groups that were not compared; members of one group
+are not compared again, so a group of copies does not emit all its pairs. Texts without words belong to no group.
 A text of fewer than five words is one shingle. Null ids are kept and never lead a group.
 """
 
@@ -111,26 +112,50 @@ def weighted_jaccard(a, b):
     return common / (F.size(a) + F.size(b) - common)
 
 
-def linked(texts, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
-    """Pairs (a, b) of different classes whose texts are similar. `texts` has key, grams and signature."""
-    reps = texts.select("key", "signature").dropDuplicates(["key"])
-    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
-    entries = reps.select("key", F.explode(cut).alias("bucket"))
-    chief = [F.min(F.struct(F.xxhash64(F.lit(s), "key").alias("h"), "key"))["key"].alias(f"l{s}") for s in range(leaders)]
-    heads = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *chief).where("n > 1")
-    met = entries.join(heads, "bucket").select("key", F.explode(F.array_distinct(F.array(*[f"l{s}" for s in range(leaders)]))).alias("other"))
-    ordered = met.where(F.col("key") != F.col("other")).select(
-        F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    pairs = stored(ordered, "near-pairs")
+def alike(pairs, texts, threshold):
+    """The pairs (a, b) of keys whose texts are similar, by exact comparison."""
     # Only texts that met another are compared, and their strips are fetched once per class.
     asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     met = stored(texts.select("key", "grams").join(asked, "key", "left_semi").dropDuplicates(["key"]), "near-met")
     left = met.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
     right = met.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
-    alike = weighted_jaccard(F.col("ga"), F.col("gb")) >= threshold
     # Sizes too far apart rule a pair out before the arrays are compared.
     close = F.least(F.size("ga"), F.size("gb")) >= threshold * F.greatest(F.size("ga"), F.size("gb"))
-    return stored(pairs.join(left, "a").join(right, "b").where(close & alike).select("a", "b"), "near-links")
+    similar = weighted_jaccard(F.col("ga"), F.col("gb")) >= threshold
+    return stored(pairs.join(left, "a").join(right, "b").where(close & similar).select("a", "b"), "near-links")
+
+
+def grouped(texts, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
+    """(links, labels): similar pairs (a, b) of different classes, and the label of each class that has one.
+
+    `texts` has key, grams and signature. Every member of a bucket has a turn, a number spread evenly over the
+    bucket's size by the key's hash. A round compares the members whose turn has come with those of other
+    labels in the bucket; a bucket whose other members share one label is settled. Each round reaches
+    three times as far as the one before, so the last member is reached in few rounds, and no pair of a bucket
+    with different labels is left out.
+    """
+    reps = texts.select("key", "signature").dropDuplicates(["key"])
+    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
+    entries = reps.select("key", F.explode(cut).alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # The same keys come first in all buckets, so the bands ask for the same pairs.
+    turn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("n")
+    waiting = stored(entries.join(shared, "bucket").select("bucket", "key", turn.alias("turn")), "near-entries")
+    waiting, links, upto = waiting.withColumn("label", F.col("key")), None, leaders
+    while True:
+        heads = waiting.where(F.col("turn") < upto).select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"))
+        met = waiting.join(heads, "bucket").where(F.col("label") != F.col("head_label")).select(
+            F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
+        found = alike(stored(met, "near-pairs"), texts, threshold)
+        links = found if links is None else stored(links.unionByName(found).distinct(), "near-links")
+        labels = components(links)
+        waiting = waiting.where(F.col("turn") >= upto).drop("label").join(labels, "key", "left").select(
+            "bucket", "key", "turn", F.coalesce("label", "key").alias("label"))
+        mixed_up = waiting.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        waiting = stored(waiting.join(mixed_up.select("bucket"), "bucket", "left_semi"), "near-entries")
+        if waiting.isEmpty():
+            return links, labels
+        upto = 3 * upto
 
 
 def components(links):
@@ -158,9 +183,9 @@ def classes(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
     hashes = F.transform(words(t), lambda w: F.xxhash64(w)).alias("hashes")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), hashes)
     rows = stored(signed(rows, k), "near-texts")
-    links = linked(rows.where(F.col("key").isNotNull()), threshold)
+    links, labels = grouped(rows.where(F.col("key").isNotNull()), threshold)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    named = components(links).join(degree, "key", "left")
+    named = labels.join(degree, "key", "left")
     members = rows.select("doc_id", "text_hash", "key").join(named, "key", "left")
     members = stored(members.withColumn("label", F.coalesce("label", "key")), "near-members")
     first = members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct(

@@ -63,6 +63,19 @@ def test_near_edges(spark):
     assert near.one_of_each(df.limit(0)).count() == 0
 
 
+def test_links_within_a_full_bucket_are_all_found(spark):
+    """Thirty unlike pairs of texts share every bucket; each pair must become one group."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(30):
+        strip = sorted(rng.integers(0, 2**62, 50).tolist())
+        rows += [(f"{i}-a", strip, [7] * 10), (f"{i}-b", strip[:-2], [7] * 10)]
+    texts = spark.createDataFrame(rows, "key string, grams array<long>, signature array<long>")
+    links, labels = near.grouped(texts, 0.8, bands=2, rows=5)
+    assert sorted(map(tuple, links.collect())) == sorted((f"{i}-a", f"{i}-b") for i in range(30))
+    assert {(r.key, r.label) for r in labels.collect()} == {(f"{i}-{x}", f"{i}-a") for i in range(30) for x in "ab"}
+
+
 def test_darts_estimate_weighted_similarity():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 2**63, 300).astype(np.uint64)
