@@ -83,13 +83,11 @@ def templates(pages, levels=3):
         leaves = leaves.withColumn("segment", segment).join(steps, [*place, "segment"]).withColumn("template", grown)
         leaves = stored(leaves.drop("segment", "step"), f"url-level{level}")
     # A template's share is smoothed by its host's, and that by the share over all hosts.
-    whole = leaves.agg((F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("all_share"))
+    whole = leaves.agg((F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("all_share")).first()["all_share"]
     host = leaves.groupBy("host").agg(F.sum("seen").alias("h_seen"), F.sum("bad").alias("h_bad"))
     pure = leaves.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
-    prior = (F.col("h_bad") + PRIOR * F.coalesce("all_share", F.lit(0.0))) / (F.col("h_seen") + PRIOR)
-    # `whole` is one row; a join on a constant key keeps it a plain equality join.
-    host = host.withColumn("_one", F.lit(1)).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one").select(
-        "host", prior.alias("prior"))
+    prior = (F.col("h_bad") + PRIOR * F.lit(whole or 0.0)) / (F.col("h_seen") + PRIOR)
+    host = host.select("host", prior.alias("prior"))
     purity = (F.col("bad") + PRIOR * F.col("prior")) / (F.col("seen") + PRIOR)
     judged = pure.join(host, "host").select("host", "template", purity.alias("purity"))
     return leaves.select("host", "shape", "template").join(judged, ["host", "template"]).withColumn(
