@@ -34,39 +34,44 @@ def uniform(x):
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def darts(elements, weights, n):
-    """Earliest dart of each of n coordinates for elements (uint64) with positive weights."""
+def darts(elements, weights, n, sizes=None):
+    """Earliest dart of each of n coordinates, one row per text, for elements (uint64) with positive weights.
+
+    The elements of the texts follow one another, `sizes` of them each (one text, if not given; none empty).
+    """
+    sizes = np.array([len(elements)] if sizes is None else sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    # Only darts below a rank that is likely to fill all coordinates of a text are thrown.
+    limit = n * (np.log(n) + 3) / np.bincount(text, weights, minlength=len(sizes))
     # Strips of width one; the last strip of an element may be partly its own.
     strips = np.ceil(weights).astype(np.int64)
     owner = np.repeat(np.arange(len(elements)), strips)
     level = np.arange(len(owner)) - np.repeat(np.cumsum(strips) - strips, strips)
     with np.errstate(over="ignore"):
         seeds = mixed(elements[owner] + np.uint64(0x9E3779B97F4A7C15) * (level.astype(np.uint64) + np.uint64(1)))
-    part = weights[owner] - level
-    limit = n * (np.log(n) + 3) / weights.sum()
-    while True:
-        signature, earliest = np.zeros(n, dtype=np.uint64), np.full(n, np.inf)
-        live, rank, throw = seeds, np.zeros(len(seeds)), 0
-        width = part
+    part, text = weights[owner] - level, text[owner]
+    signature, earliest = np.zeros(len(sizes) * n, dtype=np.uint64), np.full(len(sizes) * n, np.inf)
+    unfilled = np.ones(len(sizes), dtype=bool)
+    while unfilled.any():
+        again = unfilled[text]
+        live, width, home = seeds[again], part[again], text[again]
+        rank, throw = np.zeros(len(live)), 0
         while len(live):
             throw += 1
             with np.errstate(over="ignore"):
                 dart = mixed(live ^ mixed(np.full(1, throw, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
             rank = rank - np.log(uniform(dart))
-            near = rank <= limit
-            live, rank, dart, width = live[near], rank[near], dart[near], width[near]
+            near = rank <= limit[home]
+            live, rank, dart, width, home = live[near], rank[near], dart[near], width[near], home[near]
             inside = uniform(mixed(dart + np.uint64(1))) < width
-            place = (mixed(dart + np.uint64(2)) % np.uint64(n)).astype(np.int64)[inside]
-            order = np.argsort(-rank[inside], kind="stable")
-            place, when, which = place[order], rank[inside][order], dart[inside][order]
-            # Later assignments win, so of the darts of this throw the earliest is left per coordinate.
-            best, value = np.full(n, np.inf), np.zeros(n, dtype=np.uint64)
-            best[place], value[place] = when, which
-            sooner = best < earliest
-            earliest[sooner], signature[sooner] = best[sooner], value[sooner]
-        if np.isfinite(earliest).all():
-            return signature
-        limit *= 2
+            place = (mixed(dart + np.uint64(2)) % np.uint64(n)).astype(np.int64)
+            cell, when, which = (home * n + place)[inside], rank[inside], dart[inside]
+            np.minimum.at(earliest, cell, when)
+            first = when == earliest[cell]
+            signature[cell[first]] = which[first]
+        unfilled = ~np.isfinite(earliest.reshape(-1, n)).all(axis=1)
+        limit = limit * 2
+    return signature.reshape(-1, n)
 
 
 def strips(hashes, k):
@@ -89,17 +94,37 @@ def strips(hashes, k):
     return np.sort(found)
 
 
-def signed(rows, k, n=BANDS * ROWS):
-    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, hashes)."""
+def signed(rows, k, n=BANDS * ROWS, together=200_000):
+    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, hashes).
+
+    Texts are thrown for together, up to about `together` strips and coordinates at a time.
+    """
+
+    def thrown(made):
+        out, at = [None] * len(made), 0
+        while at < len(made):
+            group, size = [], 0
+            while at < len(made) and (not group or size + len(made[at]) + n <= together):
+                if len(made[at]):
+                    group.append(at)
+                    size += len(made[at]) + n
+                at += 1
+            if group:
+                elements = np.concatenate([made[i] for i in group])
+                found = darts(elements, np.ones(len(elements)), n, [len(made[i]) for i in group])
+                for i, row in zip(group, found.view(np.int64)):
+                    out[i] = row
+        return out
 
     def throw(batches):
         for batch in batches:
-            made = [strips(row, k) for row in batch.column("hashes").to_pylist()]
+            hashes = batch.column("hashes")
+            ends, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
+            made = [strips(values[low:high], k) for low, high in zip(ends[:-1], ends[1:])]
             keys = [hashlib.blake2b(g.tobytes(), digest_size=16).hexdigest() if len(g) else None for g in made]
-            thrown = [darts(g, np.ones(len(g)), n).view(np.int64) if len(g) else None for g in made]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.string()),
-                 pa.array([g.view(np.int64) for g in made], pa.list_(pa.int64())), pa.array(thrown, pa.list_(pa.int64()))],
+                 pa.array([g.view(np.int64) for g in made], pa.list_(pa.int64())), pa.array(thrown(made), pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "key", "grams", "signature"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
