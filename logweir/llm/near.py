@@ -154,33 +154,34 @@ def grouped(texts, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
     """(links, labels): similar pairs (a, b) of different classes, and the label of each class that has one.
 
     `texts` has key, grams and signature. Every member of a bucket has a turn, a number spread evenly over the
-    bucket's size by the key's hash. A round compares the members whose turn has come with those of other
-    labels in the bucket; a bucket whose other members share one label is settled. Each round reaches
-    three times as far as the one before, so the last member is reached in few rounds, and no pair of a bucket
+    bucket's size by the key's hash. A round compares the members whose turn has come, the first one at
+    first, with those of other labels in the bucket; a bucket whose other members share one label is settled.
+    Each round reaches three times as far as the one before, so the last member is reached in few rounds, and no pair of a bucket
     with different labels is left out.
     """
     reps = texts.select("key", "signature").dropDuplicates(["key"])
     cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
     entries = reps.select("key", F.explode(cut).alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low")).where("n > 1")
     # The same keys come first in all buckets, so the bands ask for the same pairs.
-    turn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("n")
+    turn = (place - F.col("low")) * F.col("n") / F.lit(1 << 30)
     waiting = stored(entries.join(shared, "bucket").select("bucket", "key", turn.alias("turn")), "near-entries")
-    waiting, links, upto = waiting.withColumn("label", F.col("key")), None, leaders
+    waiting, links, upto = waiting.withColumn("label", F.col("key")), None, 0
     while True:
-        heads = waiting.where(F.col("turn") < upto).select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"))
+        heads = waiting.where(F.col("turn") <= upto).select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"))
         met = waiting.join(heads, "bucket").where(F.col("label") != F.col("head_label")).select(
             F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
         found = alike(stored(met, "near-pairs"), texts, threshold)
         links = found if links is None else stored(links.unionByName(found).distinct(), "near-links")
         labels = components(links)
-        waiting = waiting.where(F.col("turn") >= upto).drop("label").join(labels, "key", "left").select(
+        waiting = waiting.where(F.col("turn") > upto).drop("label").join(labels, "key", "left").select(
             "bucket", "key", "turn", F.coalesce("label", "key").alias("label"))
         mixed_up = waiting.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         waiting = stored(waiting.join(mixed_up.select("bucket"), "bucket", "left_semi"), "near-entries")
         if waiting.isEmpty():
             return links, labels
-        upto = 3 * upto
+        upto = 3 * upto + leaders
 
 
 def components(links):
