@@ -16,10 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logweir.llm.common import WORD, stored, text_of, words
+from logweir.llm.common import WORD, broadcast_within, stored, text_of, words
 
 BANDS, ROWS = 24, 5
 LEADERS = 4
+#: Keys of 32 characters up to which the classes to be compared are broadcast, so other strips are not shuffled.
+BROADCAST_KEYS = 300_000
 
 
 def mixed(x):
@@ -140,7 +142,8 @@ def weighted_jaccard(a, b):
 def alike(pairs, texts, threshold):
     """The pairs (a, b) of keys whose texts are similar, by exact comparison."""
     # Only texts that met another are compared, and their strips are fetched once per class.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "near-asked")
+    asked = broadcast_within(asked, asked.count(), BROADCAST_KEYS)
     met = stored(texts.select("key", "grams").join(asked, "key", "left_semi").dropDuplicates(["key"]), "near-met")
     left = met.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
     right = met.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
