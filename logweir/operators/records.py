@@ -18,6 +18,15 @@ def message_text(body, value):
     return P.json_message(value) if body == "json" else P.text(value)
 
 
+def once(df, keep=(), **columns):
+    """`keep` and the given columns, each worked out once per row.
+
+    Behind a one-row array they are not copied into the filters and projections that use them.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*keep, F.inline(F.array(made)))
+
+
 def named(fields):
     return [F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(RECORD_FIELDS)]
 
@@ -25,7 +34,7 @@ def named(fields):
 def parse_records(df, body="pipe", value="value", keep=()):
     """Records of the messages that hold exactly nine fields."""
     fields = P.split_fields(message_text(body, value), DELIMITER[body])
-    split = df.select(*keep, fields.alias("_fields"))
+    split = once(df, keep, _fields=fields)
     return split.where(F.size("_fields") == len(RECORD_FIELDS)).select(*keep, *named(F.col("_fields")))
 
 
@@ -34,15 +43,15 @@ def rejected_messages(df, body="pipe", value="value", keep=(), need_date=False):
 
     `need_date` also reports the records the raw layer refuses for a time without a date.
     """
-    line = message_text(body, value)
-    fields = P.split_fields(line, DELIMITER[body])
-    reason = F.when(line.isNull(), "no message").when(
+    lines = once(df, keep, value=P.text(F.col(value)), _line=message_text(body, value))
+    split = once(lines, [*keep, "value", "_line"], _fields=P.split_fields(F.col("_line"), DELIMITER[body]))
+    fields = F.col("_fields")
+    reason = F.when(F.col("_line").isNull(), "no message").when(
         F.size(fields) != len(RECORD_FIELDS), "field count"
     )
     if need_date:
         reason = reason.when(F.length(F.get(fields, F.lit(2))) < 8, "short time")
-    tagged = df.select(*keep, P.text(F.col(value)).alias("value"), reason.alias("reason"))
-    return tagged.where(F.col("reason").isNotNull())
+    return once(split, [*keep, "value"], reason=reason).where(F.col("reason").isNotNull())
 
 
 def parse_delimited_table(df, value="value", keep=(), sep="|"):
@@ -102,5 +111,5 @@ def domain_ends_with(records, suffix="com"):
 
 def with_event_time(records, h12_compat=False):
     """Adds the event time; rows whose time cannot be read are left out."""
-    timed = records.withColumn("event_time", P.event_time(F.col("time"), h12_compat))
+    timed = once(records.drop("event_time"), ["*"], event_time=P.event_time(F.col("time"), h12_compat))
     return timed.where(F.col("event_time").isNotNull())

@@ -51,3 +51,17 @@ def test_demo_and_index_layouts(spark):
     assert demo.first().id == "10.0.0.1A.com20240131120005"
     assert records.index_rows(parsed).columns[:4] == ["id", "client_ip", "domain", "do_time"]
     assert len(DWD_COLUMNS) == 16
+
+
+def test_messages_are_parsed_once(spark):
+    """Filters and projections name the parsed columns; they do not carry the parsing along."""
+    messages = spark.createDataFrame([("{}",)], "value string").repartition(2)
+
+    def counts(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("split("), plan.count("get_json_object("), plan.count("try_to_timestamp(") + plan.count("gettimestamp(")
+
+    parsed = records.parse_records(messages, "json")
+    assert counts(records.ods_rows(parsed)) == (1, 1, 0)
+    assert counts(records.rejected_messages(messages, "json", need_date=True)) == (1, 1, 0)
+    assert counts(records.with_event_time(parsed)) == (1, 1, 1)
