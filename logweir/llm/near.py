@@ -6,7 +6,8 @@ earliest dart. Only darts below a rank that fills all coordinates are thrown, so
 first dart plus a few hundred. Texts with equal shingle counts are one class from the start and are joined as
 one. In each bucket members are compared with a few of them, then with more of those that are still of other
 groups, until a bucket holds no two members of different groups that were not compared; members of one group
-are not compared again, so a group of copies does not emit all its pairs. Texts without words belong to no group.
+are not compared again, so a group of copies does not emit all its pairs. Texts without words are one class
+where they are equal character by character; null is a text of its own, apart from the empty one.
 A text of fewer than five words is one shingle. Null ids are kept and never lead a group.
 """
 
@@ -97,8 +98,9 @@ def strips(hashes, k):
 
 
 def signed(rows, k, n=BANDS * ROWS, together=200_000):
-    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, hashes).
+    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, blank, hashes).
 
+    `blank` is the key of a text without words.
     Texts are thrown for together, up to about `together` strips and coordinates at a time.
     """
 
@@ -123,7 +125,8 @@ def signed(rows, k, n=BANDS * ROWS, together=200_000):
             hashes = batch.column("hashes")
             ends, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
             made = [strips(values[low:high], k) for low, high in zip(ends[:-1], ends[1:])]
-            keys = [hashlib.blake2b(g.tobytes(), digest_size=16).hexdigest() if len(g) else None for g in made]
+            keys = [hashlib.blake2b(g.tobytes(), digest_size=16).hexdigest() if len(g) else blank
+                    for g, blank in zip(made, batch.column("blank").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.string()),
                  pa.array([g.view(np.int64) for g in made], pa.list_(pa.int64())), pa.array(thrown(made), pa.list_(pa.int64()))],
@@ -205,19 +208,21 @@ def components(links):
 def classes(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
     """doc_id, text_hash, key, label, first_id, first_hash, n_links for every document.
 
-    `label` names the group and (first_id, first_hash) its first document; both are null for a text
-    without words. n_links counts the similar classes that were compared with the document's own.
+    `label` names the group and (first_id, first_hash) its first document. n_links counts the similar
+    classes that were compared with the document's own.
     """
     t = text_of(text)
     hashes = F.transform(words(t), lambda w: F.xxhash64(w)).alias("hashes")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), hashes)
+    blank = F.when(~t.rlike(WORD), F.concat(F.lit("blank-"), F.coalesce(F.md5(F.col(text)), F.lit("null")))).alias("blank")
+    # The hash of a null text is not that of the empty one.
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), blank, hashes)
     rows = stored(signed(rows, k), "near-texts")
-    links, labels = grouped(rows.where(F.col("key").isNotNull()), threshold)
+    links, labels = grouped(rows.where(F.size("grams") > 0), threshold)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     named = labels.join(degree, "key", "left")
     members = rows.select("doc_id", "text_hash", "key").join(named, "key", "left")
     members = stored(members.withColumn("label", F.coalesce("label", "key")), "near-members")
-    first = members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct(
+    first = members.groupBy("label").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
     return members.join(first, "label", "left").select(
         "doc_id", "text_hash", "key", "label", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"),
@@ -225,14 +230,13 @@ def classes(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
 
 
 def one_of_each(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
-    """The first document of every group, and every text without words, with all their columns."""
+    """The first document of every group, with all its columns."""
     found = classes(docs, threshold, k, doc_id, text)
     late = ~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
-    gone = stored(found.where(F.col("label").isNotNull() & late).select(
+    gone = stored(found.where(late).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "near-gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    keyed = docs.select(row, F.col(doc_id).alias("_doc"), F.xxhash64(t := text_of(text)).alias("_text"), t.rlike(WORD).alias("_worded"))
-    left = keyed.where("_worded").join(gone, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti")
+    keyed = docs.select(row, F.col(doc_id).alias("_doc"), F.xxhash64(F.col(text)).alias("_text"))
+    left = keyed.join(gone, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti")
     # Rows that repeat both id and text are one document.
-    once = left.dropDuplicates(["_doc", "_text"]).select("_row.*")
-    return once.unionByName(keyed.where(~F.col("_worded")).select("_row.*"))
+    return left.dropDuplicates(["_doc", "_text"]).select("_row.*")

@@ -202,3 +202,19 @@ def test_pipeline(spark, sf_dir):
     sets = groups({r.doc_id: r.text for r in rows})
     assert len(set(sets.values())) == len(rows)
     assert decontam.contained(out, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).count() == 0
+
+
+def test_texts_left_without_words_are_one_of_each(spark, sf_dir):
+    rows = [(i, "same line\nand another", f"s{i}") for i in range(8)]
+    rows += [(20, None, "s"), (20, "", "s"), (21, None, "s"), (22, "...", "s"), (23, "...", None), (None, "...", "s"), (24, " ", "s")]
+    cut = lines.without_boilerplate(made(spark, rows), threshold=5)
+    assert cut.where("text = ''").count() == 8
+    out = sorted(((r.doc_id, r.text) for r in near.one_of_each(cut).collect()), key=str)
+    assert out == [(0, rows[0][1]), (1, ""), (20, None), (22, "..."), (24, " ")]
+    labels = {r.doc_id: r.first_id for r in near.classes(made(spark, rows)).where("text_hash = xxhash64('...')").collect()}
+    assert labels == {22: 22, 23: 22, None: 22}
+
+
+def test_pipeline_returns_no_text_twice(spark, sf_dir):
+    texts = [r.text for r in corpus_pipeline.run(spark, sf_dir.replace("0.001", "0.01")).select("text").collect()]
+    assert len(texts) == len(set(texts))
