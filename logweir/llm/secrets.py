@@ -20,15 +20,22 @@ KINDS = [
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: class of a candidate (the first whose pattern holds for all of it) and the bits per character that make it hot.
-CLASSES = [("digits", r"^[0-9]+$", 9.0), ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0), ("letters", r"^([a-z]+|[A-Z]+)$", 9.0),
+CLASSES = [("digits", r"^[0-9]+$", 2.6), ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0), ("letters", r"^([a-z]+|[A-Z]+)$", 3.4),
            ("mixed", r"", 3.6)]
-#: A candidate that fits one of these is no secret: identifiers with dashes, rulers, paths and joined words, samples.
+#: A candidate that fits one of these is no secret: identifiers with dashes, samples.
 ALLOWED = [
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^(.)\1+$",
-    r"^[A-Za-z]?[a-z]*([/_=-]+[A-Za-z]?[a-z]*)*$",
     r"(?i)(example|sample|placeholder|changeme|xxxx)",
 ]
+#: Characters that join words; frequent pairs of letters in English, French, German and Spanish words (fixed values).
+JOINTS = "/_=+-"
+PAIRS = """ab ac ad ag ai ak al am an ap ar as at au av be bi bl bo br ca ce ch ci ck cl co cr ct da de di do du ea ec ed ee ef
+eg ei el em en ep er es et eu ev fe ff fi fl fo fr ft fu ge gh gi gr gu ha he hi ho hr ht ia ib ic id ie if ig ih il im in io ir is
+it iv ja ju ke la le li ll lo lu ly ma me mi mm mo na nc nd ne ng ni nn no ns nt oc od of og ol om on op or os ot ou ov ow pa pe
+pf pl po pr qu ra rc rd re ri rm rn ro rr rs rt ru sa sc se sh si so sp ss st su ta te th ti to tr ts tt tu ty ub uc ue ui ul
+um un up ur us ut va ve vi vo we wi wo za ze zu""".split()
+#: A window is words or a sequence if so large a share of its neighbouring characters are such pairs or steps.
+WORDLIKE, STEPLIKE = 0.6, 0.7
 
 
 def located(text, pattern, group=0):
@@ -61,9 +68,37 @@ def spans_of(kind, rank, text, pattern, least, group):
         s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
+def neighbours(chars):
+    """Pairs of neighbouring characters: (word, joint, step) as 0 or 1.
+
+    A word pair is frequent in words and not one of a small letter and a capital behind it; a joint pair has
+    a joint; a step goes to the same, the next or the last character code.
+    """
+
+    def pair(i):
+        a, b = F.get(chars, i - 1), F.get(chars, i)
+        word = F.lower(F.concat(a, b)).isin(PAIRS) & ~(a.rlike("[a-z]") & b.rlike("[A-Z]"))
+        joint = F.lit(JOINTS).contains(a) | F.lit(JOINTS).contains(b)
+        step = F.abs(F.ascii(a) - F.ascii(b)) <= 1
+        return F.struct(word.cast("int").alias("word"), joint.cast("int").alias("joint"), step.cast("int").alias("step"))
+
+    return F.transform(F.sequence(F.lit(1), F.size(chars) - 1), pair)
+
+
+def plain(pairs):
+    """Whether the pairs of a window are those of joined words, or of a sequence."""
+
+    def share(s):
+        total = lambda name: F.aggregate(s, F.lit(0), lambda n, p: n + p[name])
+        return (total("word") >= WORDLIKE * (F.size(s) - total("joint"))) | (total("step") >= STEPLIKE * F.size(s))
+
+    return let(pairs, share)
+
+
 def hot_ranges(string, least, window=WINDOW):
     """(start, end) of the parts of a string covered by windows of at least `least` bits per character.
 
+    Windows of words and sequences are left out.
     The counts of the characters move with the window: one comes in, one goes out, and the sum of
     c * log2(c) is corrected by those two alone.
     """
@@ -71,7 +106,7 @@ def hot_ranges(string, least, window=WINDOW):
     def bits(c):
         return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
-    def walk(chars, letters):
+    def walk(chars, letters, pairs):
         state = F.struct(
             F.transform(letters, lambda _: F.lit(0)).alias("counts"),
             F.lit(0.0).alias("sum"),
@@ -98,12 +133,12 @@ def hot_ranges(string, least, window=WINDOW):
                 F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1),
                          F.array(F.struct(last["start"].alias("start"), end.alias("end")))),
             ).otherwise(F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))))
-            hot = (begin >= 0) & (entropy >= least)
+            hot = (begin >= 0) & (entropy >= least) & ~plain(F.slice(pairs, begin + 1, F.lit(window - 1)))
             return F.struct(counts.alias("counts"), total.alias("sum"), F.when(hot, grown).otherwise(acc["out"]).alias("out"))
 
         return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), state, step, lambda acc: acc["out"])
 
-    return let(F.split(string, ""), lambda c: let(F.array_distinct(c), lambda d: walk(c, d)))
+    return let(F.split(string, ""), lambda c: let(F.array_distinct(c), lambda d: let(neighbours(c), lambda p: walk(c, d, p))))
 
 
 def entropy_spans(text, rank):
@@ -121,7 +156,7 @@ def entropy_spans(text, rank):
             value = F.when(string.rlike(pattern), F.lit(bits)).otherwise(value)
         return value
 
-    found = F.filter(located(text, CANDIDATE), lambda s: ~suppressed(s) & (least(s["of"]) < 9.0))
+    found = F.filter(located(text, CANDIDATE), lambda s: ~suppressed(s))
     parts = F.transform(found, lambda s: F.transform(hot_ranges(s["of"], least(s["of"])), lambda r: F.struct(
         (s["start"] + r["start"]).alias("start"), F.lit(rank).alias("rank"),
         (s["start"] + r["end"]).alias("end"), F.lit("entropy").alias("kind"))))

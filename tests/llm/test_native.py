@@ -1,7 +1,9 @@
 """Secrets, URL filter and chat formatting against plain Python, whole tables at the smallest scale."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +58,23 @@ def test_entropy_finds_a_key_and_lets_words_be(spark):
     assert found == {1: [(4, 4 + len(key))], 2: [], 3: [], 4: [], 5: []}
 
 
+def added(spark, rows):
+    return {r.doc_id: [(s.start, s.end) for s in r.added]
+            for r in secrets.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_entropy_finds_keys_of_each_class_and_no_words_or_sequences(spark):
+    rng = random.Random(7)
+    kinds = [string.digits, string.ascii_lowercase, string.ascii_uppercase, "0123456789ABCDEF", string.ascii_letters + string.digits]
+    keys = {i: "".join(rng.choice(k) for _ in range(48)) for i, k in enumerate(kinds)}
+    found = added(spark, [(i, f"see {k} here") for i, k in keys.items()])
+    for spans in found.values():
+        assert spans and all(4 <= a < b <= 52 for a, b in spans) and sum(b - a for a, b in spans) >= 40
+    words = [string.ascii_lowercase, string.ascii_uppercase[::-1], "1234567890" * 3, "counterrevolutionaries",
+             "rindfleischetikettierungsueberwachung", "electroencephalographically", "src/main/java/org/apache/spark/catalyst"]
+    assert not any(added(spark, list(enumerate(words))).values())
+
+
 def test_chat_round_trip_over_the_whole_table(spark, sf_dir):
     want = {-7: [("user", r"\### Assistant: </turn> ok"), ("assistant", r"\### Assistant: </turn> ok")]}
     for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").orderBy("conv_id", "turn", "role", "text").collect():
