@@ -16,17 +16,17 @@ KINDS = [
     ("access", r"AKIA[A-Z0-9]+", 20, 0),
     ("hex", r"[0-9a-f]+", 24, 0),
 ]
-#: Strings the entropy window looks at.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Strings the entropy window looks at. One shorter than the window is a window of its own, unless it is all
+#: digits (cards, accounts, times).
+CANDIDATE = r"(?=[0-9]*[A-Za-z+/_=-]|[0-9]{20})[A-Za-z0-9+/_=-]{16,}"
 WINDOW = 20
-#: class of a candidate (the first whose pattern holds for all of it) and the bits per character that make it hot.
+#: class of a window (the first whose pattern holds for all of it) and the bits per character that make it hot, for a
+#: full window; a shorter one needs the same part of the bits it can have.
 CLASSES = [("digits", r"^[0-9]+$", 2.6), ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0), ("letters", r"^([a-z]+|[A-Z]+)$", 3.4),
            ("mixed", r"", 3.6)]
-#: A candidate that fits one of these is no secret: identifiers with dashes, samples.
-ALLOWED = [
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)(example|sample|placeholder|changeme|xxxx)",
-]
+#: No window reaches into such an identifier, or holds such a mark of a sample.
+IDENTIFIER = r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])"
+SAMPLE = r"(?i)(example|sample|placeholder|changeme|xxxx)"
 #: Characters that join words; frequent pairs of letters in English, French, German and Spanish words (fixed values).
 JOINTS = "/_=+-"
 PAIRS = """ab ac ad ag ai ak al am an ap ar as at au av be bi bl bo br ca ce ch ci ck cl co cr ct da de di do du ea ec ed ee ef
@@ -95,10 +95,19 @@ def plain(pairs):
     return let(pairs, share)
 
 
-def hot_ranges(string, least, window=WINDOW):
-    """(start, end) of the parts of a string covered by windows of at least `least` bits per character.
+def least_bits(string):
+    """Bits per character that make a window of the string's class hot."""
+    value = F.lit(CLASSES[-1][2])
+    for _, pattern, bits in reversed(CLASSES[:-1]):
+        value = F.when(string.rlike(pattern), F.lit(bits)).otherwise(value)
+    return value
+
 
-    Windows of words and sequences are left out.
+def hot_ranges(string, window=WINDOW):
+    """(start, end) of the parts of a string covered by hot windows: those whose bits per character reach what
+    their own class asks.
+
+    Windows of words, sequences and samples, and those that reach into an identifier, are left out.
     The counts of the characters move with the window: one comes in, one goes out, and the sum of
     c * log2(c) is corrected by those two alone.
     """
@@ -106,7 +115,15 @@ def hot_ranges(string, least, window=WINDOW):
     def bits(c):
         return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
-    def walk(chars, letters, pairs):
+    lowest = min(bits for _, _, bits in CLASSES)
+
+    def walk(string, chars, letters, pairs, window):
+        part = F.log2(window) / math.log2(WINDOW)
+
+        def asked(at, entropy):
+            return let(F.substring(string, at + 1, window), lambda s: (
+                (entropy >= least_bits(s) * part) & ~s.contains(" ") & ~s.rlike(SAMPLE)))
+
         state = F.struct(
             F.transform(letters, lambda _: F.lit(0)).alias("counts"),
             F.lit(0.0).alias("sum"),
@@ -125,7 +142,7 @@ def hot_ranges(string, least, window=WINDOW):
             counts = F.when(same, acc["counts"]).otherwise(F.transform(
                 acc["counts"],
                 lambda c, k: c + (k == comes - 1).cast("int") - (k == goes - 1).cast("int")))
-            entropy = F.lit(math.log2(window)) - total / window
+            entropy = F.log2(window) - total / window
             begin, end = i - (window - 1), i + 1
             last = F.get(acc["out"], F.size(acc["out"]) - 1)
             grown = F.when(
@@ -133,31 +150,21 @@ def hot_ranges(string, least, window=WINDOW):
                 F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1),
                          F.array(F.struct(last["start"].alias("start"), end.alias("end")))),
             ).otherwise(F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))))
-            hot = (begin >= 0) & (entropy >= least) & ~plain(F.slice(pairs, begin + 1, F.lit(window - 1)))
+            hot = (begin >= 0) & (entropy >= lowest * part) & asked(begin, entropy) & ~plain(F.slice(pairs, begin + 1, window - 1))
             return F.struct(counts.alias("counts"), total.alias("sum"), F.when(hot, grown).otherwise(acc["out"]).alias("out"))
 
         return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), state, step, lambda acc: acc["out"])
 
-    return let(F.split(string, ""), lambda c: let(F.array_distinct(c), lambda d: let(neighbours(c), lambda p: walk(c, d, p))))
+    def walked(string):
+        return let(F.split(string, ""), lambda c: let(F.array_distinct(c), lambda d: let(neighbours(c), lambda p: let(
+            F.least(F.lit(window), F.size(c)), lambda w: walk(string, c, d, p, w)))))
+
+    return let(F.regexp_replace(string, IDENTIFIER, " " * 36), walked)
 
 
 def entropy_spans(text, rank):
-    """Spans of high entropy in the candidates that no allowed pattern fits."""
-
-    def suppressed(s):
-        bad = F.lit(False)
-        for pattern in ALLOWED:
-            bad = bad | s["of"].rlike(pattern)
-        return bad
-
-    def least(string):
-        value = F.lit(CLASSES[-1][2])
-        for _, pattern, bits in reversed(CLASSES[:-1]):
-            value = F.when(string.rlike(pattern), F.lit(bits)).otherwise(value)
-        return value
-
-    found = F.filter(located(text, CANDIDATE), lambda s: ~suppressed(s))
-    parts = F.transform(found, lambda s: F.transform(hot_ranges(s["of"], least(s["of"])), lambda r: F.struct(
+    """Spans of high entropy in the candidates."""
+    parts = F.transform(located(text, CANDIDATE), lambda s: F.transform(hot_ranges(s["of"]), lambda r: F.struct(
         (s["start"] + r["start"]).alias("start"), F.lit(rank).alias("rank"),
         (s["start"] + r["end"]).alias("end"), F.lit("entropy").alias("kind"))))
     return F.flatten(parts)

@@ -75,6 +75,19 @@ def test_entropy_finds_keys_of_each_class_and_no_words_or_sequences(spark):
     assert not any(added(spark, list(enumerate(words))).values())
 
 
+def test_entropy_judges_the_window_and_not_the_candidate(spark):
+    rng = random.Random(11)
+    hexes = {i: "".join(rng.choice("0123456789ABCDEF") for _ in range(32)) for i in range(20)}
+    found = added(spark, [(i, f"ID={k}") for i, k in hexes.items()])
+    assert all(any(b > 3 for _, b in spans) for spans in found.values())
+    key, uuid = "9fKx2LmQ7vTz1RbW8sYc4HnD6aEj3GpU5oXi0ZtC", "123e4567-e89b-12d3-a456-426614174000"
+    found = added(spark, [(1, f"examples/{key}"), (2, f"sample_id={key}"), (3, f"see {key[:16]}."), (4, f"ID={uuid}"),
+                          (5, "4716 4716238890125537"), (6, "sample_of_identification"), (7, f"{uuid}={key}")])
+    assert [found[i][-1][1] for i in (1, 2, 7)] == [9 + 40, 10 + 40, 37 + 40]
+    assert all(spans[-1][0] <= at for spans, at in ((found[1], 9), (found[2], 10)))
+    assert (found[3], found[4], found[5], found[6]) == ([(4, 20)], [], [], [])
+
+
 def test_chat_round_trip_over_the_whole_table(spark, sf_dir):
     want = {-7: [("user", r"\### Assistant: </turn> ok"), ("assistant", r"\### Assistant: </turn> ok")]}
     for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").orderBy("conv_id", "turn", "role", "text").collect():
