@@ -2,23 +2,46 @@
 
 Items are partitioned by their number of shingles; the sketch of a partition keeps so many of the smallest
 shingle hashes that any document holding the asked part of an item must hold one of them. Documents are
-probed with all their shingles, and what is found is verified by exact containment. Items of fewer than
-k words have no shingle and match nothing; null and empty texts match nothing. Rows with the same id are
-each verified, and the best of them counts. Null ids are kept apart from the others as one id.
+probed with all their shingles, and what is found is verified by exact containment. An item of n words, fewer
+than k, is one shingle of n words, and documents are probed with their windows of n words for each such n.
+In scripts without spaces each character is a word. Texts without words match nothing.
 """
 
 from pyspark.sql import functions as F
 
-from logweir.llm.common import broadcast_within, shingles, stored, text_of
+from logweir.llm.common import broadcast_within, let, stored, text_of
 
 #: Sketch rows up to which the item side is broadcast: 16 bytes each and the hash table around them.
 BROADCAST_ROWS = 1_000_000
 
 
+#: Letters of scripts that are written without spaces.
+SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[\p{{L}}\p{{N}}&&[{SINGLE}]]|[\p{{L}}\p{{N}}&&[^{SINGLE}]]+"
+
+
+def hashed_words(text):
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+
+
+def windows(text, sizes):
+    """Distinct hashes of the windows of a text of each of the sizes."""
+
+    def of(h, k):
+        slide = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(F.slice(h, i + 1, F.lit(k))))
+        return F.when(F.size(h) >= k, slide).otherwise(F.array().cast("array<bigint>"))
+
+    return let(hashed_words(text), lambda h: F.array_distinct(F.concat(*[of(h, k) for k in sizes])))
+
+
 def sketched(benchmark, threshold, k, item_id="item_id", text="text"):
-    """item_id, grams (distinct shingles), n, keys: the smallest hashes of the item, as its size class asks."""
-    grams = F.array_distinct(shingles(text_of(text), k))
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.sort_array(grams).alias("grams")).where(F.size("grams") > 0)
+    """item_id, words (k at most), grams (distinct shingles), n, keys: the smallest hashes of the item, as its size class asks."""
+    t = text_of(text)
+    whole = let(hashed_words(t), lambda h: F.when(F.size(h).between(1, k - 1), F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>")))
+    grams = F.concat(windows(t, [k]), whole)
+    items = benchmark.select(
+        F.col(item_id).alias("item_id"), F.least(F.size(hashed_words(t)), F.lit(k)).alias("words"), F.sort_array(grams).alias("grams"))
+    items = items.where(F.size("grams") > 0)
     items = items.withColumn("n", F.size("grams"))
     # Size class c holds sizes 2^c to 2^(c+1) - 1; the largest size of a class may miss the most shingles.
     largest = F.pow(F.lit(2.0), F.floor(F.log2(F.col("n"))) + 1) - 1
@@ -31,14 +54,15 @@ def contained(docs, benchmark, threshold=0.8, k=5, doc_id="doc_id", text="text")
     items = stored(sketched(benchmark, threshold, k), "bench-items")
     keys = items.select("item_id", F.explode("keys").alias("gram"))
     n_keys = keys.count()
+    sizes = sorted({k, *(r.words for r in items.select("words").distinct().collect())})
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    probes = rows.select("doc_id", F.explode(F.array_distinct(shingles(F.col("text"), k))).alias("gram"))
+    probes = rows.select("doc_id", F.explode(windows(F.col("text"), sizes)).alias("gram"))
     found = probes.join(broadcast_within(keys, n_keys, BROADCAST_ROWS), "gram").select("doc_id", "item_id").distinct()
     found = stored(found, "bench-candidates")
     hits = found.groupBy("doc_id").agg(F.collect_set("item_id").alias("item_ids")).withColumnRenamed("doc_id", "_id")
     n_hits = hits.count()
     held = rows.join(broadcast_within(hits, n_hits, 100_000), F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        "doc_id", "item_ids", F.array_distinct(shingles(F.col("text"), k)).alias("doc_grams"))
+        "doc_id", "item_ids", windows(F.col("text"), sizes).alias("doc_grams"))
     pairs = held.select("doc_id", "doc_grams", F.explode("item_ids").alias("item_id")).join(
         broadcast_within(items.select("item_id", "grams", "n"), n_keys, BROADCAST_ROWS), "item_id")
     common = F.size(F.array_intersect("grams", "doc_grams"))

@@ -106,6 +106,17 @@ def test_decontamination_edges(spark):
     assert decontam.clean(df.limit(0), bench).columns == df.columns
 
 
+def test_items_of_few_words_are_found(spark):
+    items = [(1, "Paris"), (2, "who was first"), (3, "什么是机器学习"), (4, "何时"), (5, "..."), (6, "one two three four"), (7, prose(3, 30))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "paris", "s"), (2, "So: who was FIRST then", "s"), (3, "请问什么是机器学习呢", "s"), (4, "who was the first", "s"), (5, "何 时", "s"),
+            (6, f"{prose(4, 900)} one two, three four", "s"), (7, "one two three five", "s"), (8, "...", "s"), (9, None, "s"), (10, prose(3, 30), "s")]
+    got = {(r.doc_id, r.item_id): (r.n_item, r.n_found, r.containment) for r in decontam.contained(made(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (5, 4), (6, 6), (10, 7)}
+    assert got[2, 2] == (1, 1, 1.0) and got[10, 7] == (26, 26, 1.0)
+    assert sorted(r.doc_id for r in decontam.clean(made(spark, rows), bench).collect()) == [4, 7, 8, 9]
+
+
 def test_lines_on_many_sites_go_but_for_the_first(spark):
     rows = [(i, f"own {i}\nShared line\n\nfew {i // 3}", f"s{i}") for i in range(6)]
     rows += [(10, None, "s1"), (11, "", "s1"), (12, "shared line ", None), (12, "shared line ", None)] + [(20 + i, "one site", "s1") for i in range(9)]
