@@ -117,6 +117,17 @@ def test_items_of_few_words_are_found(spark):
     assert sorted(r.doc_id for r in decontam.clean(made(spark, rows), bench).collect()) == [4, 7, 8, 9]
 
 
+def test_null_and_repeated_ids_are_rows_of_their_own(spark):
+    a, b, c = prose(3, 30), prose(4, 40), prose(6, 50)
+    bench = spark.createDataFrame([(None, a), (None, b), (7, c), (7, prose(7, 9))], "item_id long, text string")
+    rows = [(1, a, "s"), (2, f"x {b} y", "s"), (3, prose(5, 60), "s"), (3, c, "s"), (None, prose(8, 60), "s"), (None, f"{b} z", "s")]
+    df = made(spark, rows)
+    got = {(r.doc_id, r.item_id, r.n_item, r.n_found) for r in decontam.contained(df, bench).collect()}
+    assert got == {(1, None, 26, 26), (2, None, 36, 36), (3, 7, 46, 46), (None, None, 36, 36)}
+    left = decontam.clean(df, bench)
+    assert left.columns == df.columns and sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(3, prose(5, 60)), (None, prose(8, 60))], key=str)
+
+
 def test_lines_on_many_sites_go_but_for_the_first(spark):
     rows = [(i, f"own {i}\nShared line\n\nfew {i // 3}", f"s{i}") for i in range(6)]
     rows += [(10, None, "s1"), (11, "", "s1"), (12, "shared line ", None), (12, "shared line ", None)] + [(20 + i, "one site", "s1") for i in range(9)]
