@@ -2,7 +2,9 @@
 
 A null URL or one without `://` has an empty host and path and no rule. URLs with equal host and path
 are judged alike. The tree is built from counts per host and shape, so a hot host is combined before
-the shuffle.
+the shuffle. Branches of a place have one form if the same children hold about the same shares of their
+pages, which needs no label; a form's labelled pages thereby speak for the branches without labels, in its
+host first and then over all hosts. Within a form, branches with labels are templates apart by tenths.
 """
 
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ RULES = [
 VARIABLE = r"^([0-9._-]+(\.[a-z]{1,5})?|[0-9a-fA-F-]{8,}|(?=.*[0-9])[A-Za-z0-9_-]{12,})$"
 #: A place in the tree with more different segments than this, each seen rarely, becomes a wildcard.
 FANOUT, SUPPORT = 20, 5
+#: Steps in which the share of a branch's pages below a child is compared.
+SHARES = 4
 #: Pages a parent's share counts for when its child's is smoothed; share of blocked pages that rejects.
 PRIOR, REJECT = 4.0, 0.5
 
@@ -60,37 +64,50 @@ def templates(pages, levels=3):
     leaves = pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("seen"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
     # Each level reads the one before several times, so each is written down once.
-    leaves = stored(leaves.withColumn("template", F.lit("")), "url-shapes")
+    leaves = stored(leaves.withColumns({"form": F.lit(""), "template": F.lit("")}), "url-shapes")
+    place, pages_of = ["host", "form"], lambda: [F.sum(c).alias(c) for c in ("n", "seen", "bad")]
     for level in range(levels):
         # One row per branch below each parent; the branches of a place are few or become a wildcard.
-        segment = F.coalesce(F.get("shape", F.lit(level)), F.lit(""))
-        place = ["host", "template"]
-        branch = leaves.withColumn("segment", segment).groupBy(*place, "segment").agg(
-            *[F.sum(c).alias(c) for c in ("n", "seen", "bad")], F.bit_xor(F.xxhash64(F.slice("shape", level + 2, 1))).alias("kids"))
+        leaves = leaves.withColumn("segment", F.coalesce(F.get("shape", F.lit(level)), F.lit("")))
+        kids = leaves.groupBy(*place, "segment", F.coalesce(F.get("shape", F.lit(level + 1)), F.lit("")).alias("child")).agg(*pages_of())
+        kids = stored(kids, f"url-kids{level}")
+        branch = kids.groupBy(*place, "segment").agg(*pages_of(), F.count(F.lit(1)).alias("kids"))
         spread = branch.groupBy(*place).agg(
             F.count(F.lit(1)).alias("fan"), F.avg("n").alias("mean"),
             (F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("share"))
-        near = branch.join(spread, place)
-        wild = (F.col("fan") > FANOUT) & (F.col("mean") < SUPPORT) & (F.col("segment") != "")
+        # Children that are many and each rare count as one wildcard child.
+        below = kids.select(*place, "segment", "child", "n").join(
+            branch.select(*place, "segment", F.col("n").alias("total"), "kids"), [*place, "segment"])
+        rare = (F.col("kids") > FANOUT) & (F.col("n") * FANOUT < F.col("total")) & (F.col("child") != "")
+        below = below.groupBy(*place, "segment", F.when(rare, "*").otherwise(F.col("child")).alias("child")).agg(
+            F.sum("n").alias("n"), F.first("total").alias("total"))
+        part = F.struct("child", F.round(F.col("n") / F.col("total") * SHARES).cast("int").alias("part"))
+        profile = below.groupBy(*place, "segment").agg(F.sort_array(F.collect_list(part)).alias("profile"))
+        near = branch.join(profile, [*place, "segment"]).join(spread, place)
+        wild = (F.col("fan") > FANOUT) & (F.col("mean") < SUPPORT)
+        step = F.when(wild | (F.col("segment") == "*"), "*").otherwise(F.concat(F.lit("~"), F.lower(F.hex(F.xxhash64("profile")))))
         rate = (F.col("bad") + PRIOR * F.col("share")) / (F.col("seen") + PRIOR)
-        # Siblings are alike when their labelled shares fall into one tenth and their children are the same;
-        # a branch without labels or children has nothing to compare and stays.
-        alike = F.when((F.col("seen") > 0) & (F.col("segment") != "") & (F.col("segment") != "*"),
-                       F.concat_ws(":", F.lit("~"), F.round(rate * 10).cast("int"), F.col("kids")))
-        named = F.when(wild, "*").otherwise(F.coalesce(alike, F.col("segment")))
-        steps = near.select(*place, "segment", named.alias("step"))
-        grown = F.when(F.col("segment") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "step"))
-        leaves = leaves.withColumn("segment", segment).join(steps, [*place, "segment"]).withColumn("template", grown)
-        leaves = stored(leaves.drop("segment", "step"), f"url-level{level}")
-    # A template's share is smoothed by its host's, and that by the share over all hosts.
+        tenth = F.when(F.col("seen") > 0, F.concat(F.lit(":"), F.round(rate * 10).cast("int"))).otherwise("")
+        steps = near.where(F.col("segment") != "").select(*place, "segment", step.alias("step"), tenth.alias("tenth"))
+        grown = {
+            "form": F.when(F.col("step").isNull(), F.col("form")).otherwise(F.concat("form", F.lit("/"), "step")),
+            "template": F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step", "tenth"))}
+        leaves = leaves.join(steps, [*place, "segment"], "left").withColumns(grown)
+        leaves = stored(leaves.drop("segment", "step", "tenth"), f"url-level{level}")
+    # A template's share is smoothed by its form's, that by the host's, and that by the form's share over all hosts.
     whole = leaves.agg((F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("all_share")).first()["all_share"]
+
+    def smoothed(bad, seen, prior):
+        return (F.col(bad) + PRIOR * prior) / (F.col(seen) + PRIOR)
+
+    forms = leaves.groupBy("form").agg(F.sum("seen").alias("f_seen"), F.sum("bad").alias("f_bad"))
+    forms = forms.select("form", smoothed("f_bad", "f_seen", F.lit(whole or 0.0)).alias("all_prior"))
     host = leaves.groupBy("host").agg(F.sum("seen").alias("h_seen"), F.sum("bad").alias("h_bad"))
-    pure = leaves.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
-    prior = (F.col("h_bad") + PRIOR * F.lit(whole or 0.0)) / (F.col("h_seen") + PRIOR)
-    host = host.select("host", prior.alias("prior"))
-    purity = (F.col("bad") + PRIOR * F.col("prior")) / (F.col("seen") + PRIOR)
-    judged = pure.join(host, "host").select("host", "template", purity.alias("purity"))
-    return leaves.select("host", "shape", "template").join(judged, ["host", "template"]).withColumn(
+    alike = leaves.groupBy(*place).agg(F.sum("seen").alias("p_seen"), F.sum("bad").alias("p_bad")).join(host, "host").join(forms, "form")
+    alike = alike.select(*place, smoothed("p_bad", "p_seen", smoothed("h_bad", "h_seen", F.col("all_prior"))).alias("prior"))
+    pure = leaves.groupBy(*place, "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).join(alike, place)
+    judged = pure.select(*place, "template", smoothed("bad", "seen", F.col("prior")).alias("purity"))
+    return leaves.select("host", "shape", "form", "template").join(judged, [*place, "template"]).drop("form").withColumn(
         "rejected", F.col("purity") >= REJECT)
 
 

@@ -142,3 +142,19 @@ def test_url_edges_and_purity(spark):
     assert got.count() == len(rows)
     assert (by[1].host, by[1].path, by[1].rule, by[3].host, by[4].host) == ("", "", None, "a.com", "h.com")
     assert by[10].verdict == "block" and by[1].verdict in ("allow", "block")
+
+
+def test_unruled_pages_are_judged_by_their_template(spark):
+    rules = [("block", "z.net", "/ads/"), ("allow", "z.net", "/news/")]
+    paths = [f"ads/{i}" for i in range(30)] + ["news/list", "news/archive"] * 15 + ["promo/1", "promo/2", "blog/list", "blog/archive"]
+    urls_of = [f"http://z.net/{p}" for p in paths] + [f"http://y.net/{p}" for p in paths[-4:]]
+    got = urls.judged(spark.createDataFrame(list(enumerate(urls_of)), "page_id long, url string"), rules=rules).where("rule is null").collect()
+    assert {(r.host, r.path): r.verdict for r in got} == {
+        (h, f"/{p}"): "block" if p.startswith("promo") else "allow" for h in ("z.net", "y.net") for p in paths[-4:]}
+
+
+def test_branches_with_other_children_are_not_alike(spark):
+    shapes = [(top, kid, leaf) for top, kids in (("aa", "kl"), ("bb", "mn"), ("cc", "kl")) for kid in kids for leaf in "xy"]
+    pages = spark.createDataFrame([("h", list(s), 1) for s in shapes], "host string, shape array<string>, label int")
+    got = {r.shape[0]: r.template for r in urls.templates(pages).collect()}
+    assert got["aa"] == got["cc"] != got["bb"]
