@@ -21,8 +21,9 @@ RULES = [
 ]
 #: Segments that vary by nature: numbers, hex strings, dates, long mixed identifiers.
 VARIABLE = r"^([0-9._-]+(\.[a-z]{1,5})?|[0-9a-fA-F-]{8,}|(?=.*[0-9])[A-Za-z0-9_-]{12,})$"
-#: A place in the tree with more different segments than this, each seen rarely, becomes a wildcard.
-FANOUT, SUPPORT = 20, 5
+#: At a place in the tree with more different segments than this, each that has less than one such part of the
+#: place's pages becomes a wildcard.
+FANOUT = 20
 #: Steps in which the share of a branch's pages below a child is compared.
 SHARES = 4
 #: Pages a parent's share counts for when its child's is smoothed; share of blocked pages that rejects.
@@ -55,25 +56,25 @@ def shaped(path):
     return F.transform(segments, lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
 
 
-def templates(pages, levels=3):
-    """Verdict per host and shape from the template tree.
+def templates(pages):
+    """Verdict per host and shape from the template tree, down to the last segment of the deepest path.
 
-    `pages` has host, shape (array) and label (1 block, 0 allow, null unknown). The segments beyond
-    `levels` are one tail of the last branch. Returns host, shape, template, purity, rejected.
+    `pages` has host, shape (array) and label (1 block, 0 allow, null unknown). Returns host, shape, template, purity, rejected.
     """
     leaves = pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("seen"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
     # Each level reads the one before several times, so each is written down once.
     leaves = stored(leaves.withColumns({"form": F.lit(""), "template": F.lit("")}), "url-shapes")
+    levels = leaves.agg(F.max(F.size("shape")).alias("deepest")).first()["deepest"] or 0
     place, pages_of = ["host", "form"], lambda: [F.sum(c).alias(c) for c in ("n", "seen", "bad")]
     for level in range(levels):
-        # One row per branch below each parent; the branches of a place are few or become a wildcard.
+        # One row per branch below each parent; the rare ones of many become a wildcard.
         leaves = leaves.withColumn("segment", F.coalesce(F.get("shape", F.lit(level)), F.lit("")))
         kids = leaves.groupBy(*place, "segment", F.coalesce(F.get("shape", F.lit(level + 1)), F.lit("")).alias("child")).agg(*pages_of())
         kids = stored(kids, f"url-kids{level}")
         branch = kids.groupBy(*place, "segment").agg(*pages_of(), F.count(F.lit(1)).alias("kids"))
         spread = branch.groupBy(*place).agg(
-            F.count(F.lit(1)).alias("fan"), F.avg("n").alias("mean"),
+            F.count(F.lit(1)).alias("fan"), F.sum("n").alias("all_n"),
             (F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("share"))
         # Children that are many and each rare count as one wildcard child.
         below = kids.select(*place, "segment", "child", "n").join(
@@ -84,7 +85,7 @@ def templates(pages, levels=3):
         part = F.struct("child", F.round(F.col("n") / F.col("total") * SHARES).cast("int").alias("part"))
         profile = below.groupBy(*place, "segment").agg(F.sort_array(F.collect_list(part)).alias("profile"))
         near = branch.join(profile, [*place, "segment"]).join(spread, place)
-        wild = (F.col("fan") > FANOUT) & (F.col("mean") < SUPPORT)
+        wild = (F.col("fan") > FANOUT) & (F.col("n") * FANOUT < F.col("all_n"))
         step = F.when(wild | (F.col("segment") == "*"), "*").otherwise(F.concat(F.lit("~"), F.lower(F.hex(F.xxhash64("profile")))))
         rate = (F.col("bad") + PRIOR * F.col("share")) / (F.col("seen") + PRIOR)
         tenth = F.when(F.col("seen") > 0, F.concat(F.lit(":"), F.round(rate * 10).cast("int"))).otherwise("")

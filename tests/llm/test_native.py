@@ -158,3 +158,16 @@ def test_branches_with_other_children_are_not_alike(spark):
     pages = spark.createDataFrame([("h", list(s), 1) for s in shapes], "host string, shape array<string>, label int")
     got = {r.shape[0]: r.template for r in urls.templates(pages).collect()}
     assert got["aa"] == got["cc"] != got["bb"]
+
+
+def test_templates_do_not_change_with_the_table_and_reach_the_last_segment(spark):
+    slugs = ["".join(string.ascii_lowercase[(i // 26**j) % 26] for j in range(3)) for i in range(40)]
+    paths = [("post", s) for s in slugs] + [("post", "top", "x")] * 40 + [("a", "b", "c", "d", x) for x in ("bad", "good")]
+    rows = [("h", list(p), {"bad": 1, "good": 0}.get(p[-1])) for p in paths]
+    once, often = ({tuple(r.shape): r for r in urls.templates(spark.createDataFrame(
+        rows * n, "host string, shape array<string>, label int")).collect()} for n in (1, 10))
+    assert {k: r.template.split(":")[0] for k, r in once.items()} == {k: r.template.split(":")[0] for k, r in often.items()}
+    for got in (once, often):
+        assert all(got["post", s].template.endswith("/*") for s in slugs) and not got["post", "top", "x"].template.split("/")[2] == "*"
+        assert got["a", "b", "c", "d", "bad"].purity > got["a", "b", "c", "d", "good"].purity
+    assert often["a", "b", "c", "d", "bad"].rejected and not often["a", "b", "c", "d", "good"].rejected
