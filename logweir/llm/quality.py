@@ -17,7 +17,7 @@ le la les de des et en un une que el los las y se del por con para""".split()
 
 #: name, figure, lowest and highest value allowed; null leaves a side open.
 RULES = [
-    ("words", "n_words", 50, 200_000),
+    ("words", "n_words", 50, None),
     ("mean_word_length", "mean_word", 2.0, 15.0),
     ("symbols_per_word", "symbol_ratio", None, 0.1),
     ("marks_per_word", "exclaim_ratio", None, 0.3),

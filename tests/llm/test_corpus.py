@@ -214,6 +214,10 @@ def test_quality_figures_and_filter(spark, sf_dir, texts):
     assert [r.doc_id for r in quality.keep_good(df, [("words", "n_words", 50, None)]).collect()] == [3]
 
 
+def test_no_document_is_rejected_for_its_length_alone():
+    assert [high for _, figure, _, high in quality.RULES if figure == "n_words"] == [None]
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = corpus_pipeline.run(spark, sf_dir)
