@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from logweir.llm import chat, classifier, decontam, lines, near, pieces, quality, secrets, tokens, urls
+from logweir.llm import chat, classifier, decontam, jaccard, lines, near, pieces, quality, runs, secrets, tokens, urls, vectors
+from logweir.llm.common import let
 
 
 def read(spark, sf_dir, table):
@@ -81,6 +82,46 @@ def op10_near_dedup(spark, sf_dir):
     return rows.select("doc_id", F.coalesce("first_id", "doc_id").alias("class_id"), "n_links")
 
 
+def op11_jaccard_join(spark, sf_dir):
+    """Each document with the size of its set of 3-word shingles and its component of similar sets."""
+    rows = jaccard.components_of(read(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").cast("bigint").alias("n_shingles"), F.col("first_id").alias("component_id"))
+
+
+def op12_vector_codes(spark, sf_dir):
+    rows = vectors.compressed(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def planted(docs):
+    """Documents with a periodic tail in every tenth text, as the contract of op13 lays down."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(w):
+        n, a = F.size(w), F.pmod(g, F.size(w)).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        place = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p))
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i))), " ")
+
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    changed = let(words, lambda w: F.when(F.size(w) > 0, tail(w)))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(changed, F.col("text"))).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of every text, the longest one, and the text without what repeats in them."""
+    rows = runs.periodic(planted(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.less")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -92,4 +133,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
