@@ -81,6 +81,13 @@ def shingled(text, hashes, k):
     return np.unique(found)
 
 
+def slices(batches, rows=1000):
+    """Batches cut small, so that a task holds the sets of few documents at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def slots_of(grams, slots):
     return (mixed(grams) & np.uint64(slots - 1)).astype(np.int64)
 
@@ -92,7 +99,7 @@ def frequencies(docs, text, k, slots):
 
     def count(batches):
         seen, hashes = np.zeros(slots, dtype=np.int32), Hashed()
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0).to_pylist():
                 np.add.at(seen, slots_of(shingled(t, hashes, k), slots), 1)
         for block in range(blocks):
@@ -137,7 +144,7 @@ def described(docs, text, k, share, classes):
 
     def describe(batches):
         often, hashes = known.value, Hashed()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingled(t, hashes, k) for t in batch.column("text").to_pylist()]
             first = []
             for s in sets:
@@ -217,7 +224,7 @@ def verified(pairs, reps, docs, k, share):
 
     def sets(batches):
         hashes = Hashed()
-        for batch in batches:
+        for batch in slices(batches):
             made = [shingled(t, hashes, k).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.list_(pa.int64()))], ["key", "grams"])
 
