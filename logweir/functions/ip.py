@@ -117,3 +117,22 @@ def cidr6_parts(cidr):
     length = F.trim(F.get(pieces, F.lit(1))).try_cast("int")
     valid = (F.size(pieces) == 2) & length.between(0, 128)
     return F.when(valid, ipv6_hex(F.get(pieces, F.lit(0)))), F.when(valid, length)
+
+
+def _stepped(digits, full, empty, low, high):
+    """A hex address moved by one: the run of `full` digits at its end turns to `empty`, the digit before it moves."""
+    stem = F.regexp_replace(digits, f"{full}+$", "")
+    moved = F.concat(
+        F.substring(stem, F.lit(1), F.length(stem) - 1), F.translate(F.right(stem, F.lit(1)), low, high)
+    )
+    return F.when(stem != "", F.rpad(moved, 32, empty))
+
+
+def hex_after(digits):
+    """The next hex address; null after the highest one."""
+    return _stepped(digits, "f", "0", "0123456789abcde", "123456789abcdef")
+
+
+def hex_before(digits):
+    """The hex address before; null before the lowest one."""
+    return _stepped(digits, "0", "f", "123456789abcdef", "0123456789abcde")

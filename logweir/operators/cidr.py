@@ -3,8 +3,18 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.functions.ip import cidr6_parts, cidr_parts, cidr_range, hex_bounds, ipv6_hex, shift_left
+from logweir.functions.ip import (
+    cidr6_parts,
+    cidr_parts,
+    cidr_range,
+    hex_after,
+    hex_before,
+    hex_bounds,
+    ipv6_hex,
+    shift_left,
+)
 from logweir.operators.geo import cidr_segments, locate
+from logweir.operators.segments import V6_CELLS, hex_points, hex_spans, locate_in, v6_cell
 from logweir.operators.skew import BROADCAST_BYTES, lookup_join
 from logweir.session import ensure_checkpoint_dir
 
@@ -76,46 +86,52 @@ def locate_v4(df, cidrs, labels, ip, rule="longest", inclusive=True, **options):
     return locate(df, build(cidrs, labels, inclusive=inclusive).checkpoint(), labels, ip, **options)
 
 
-def locate_v6(
-    df, cidrs, labels, ip, inclusive=True, salt_by=None, broadcast_bytes=BROADCAST_BYTES, **join_options
-):
-    """Labels of the most specific IPv6 block of each address.
+def longest_prefix_hex_segments(cidrs, labels, inclusive=True, broadcast_bytes=BROADCAST_BYTES):
+    """Disjoint hex segments that give each address the labels of its most specific IPv6 block.
 
-    Only distinct addresses are probed, once per prefix length in use (at most 129), and the
-    answers are joined back.
+    As for IPv4 the answer changes at a block's first address or one past its last. At each such point the winner is
+    found once among the (at most 129) prefix lengths in use; neighbouring points with one winner become one segment.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(cidrs.sparkSession)
     digits, length = cidr6_parts(F.col("cidr"))
     read = cidrs.withColumns({"_digits": digits, "_len": length}).where(F.col("_digits").isNotNull())
     first, last = hex_bounds(F.col("_digits"), F.col("_len"))
-    blocks = _smallest(read.withColumns({"_net": first, "_last": last}), ["_len", "_net", "_last"], labels)
-    blocks = blocks.checkpoint()
+    blocks = _smallest(read.withColumns({"_net": first, "_end": last}), ["_len", "_net", "_end"], labels)
+    edges = (F.col("_net"), F.col("_end")) if inclusive else (hex_after(F.col("_net")), hex_before(F.col("_end")))
+    blocks = blocks.withColumns({"_first": edges[0], "_last": edges[1]})
+    blocks = blocks.where(F.col("_first") <= F.col("_last")).checkpoint()
 
-    keyed = df.withColumn("_hex", ipv6_hex(F.col(ip)))
+    spans = hex_spans(hex_points(blocks))
     lengths = sorted(r["_len"] for r in blocks.select("_len").distinct().collect())
-    addresses = keyed.where(F.col("_hex").isNotNull()).select("_hex").distinct()
-    probes = addresses.withColumn("_len", F.explode(_lengths(lengths)))
-    probes = probes.withColumn("_net", hex_bounds(F.col("_hex"), F.col("_len"))[0])
-    strict = None if inclusive else (F.col("_hex") != F.col("_net")) & (F.col("_hex") != F.col("_last"))
-    nets = blocks.select("_len", "_net", "_last")
-    hits = lookup_join(
-        probes, nets, ["_len", "_net"], "inner", strict, ["_hex"], broadcast_bytes, stored=True, **join_options
-    )
-    # The longest length is a plain number, so this is a hash aggregation; labels are fetched after.
-    longest = hits.groupBy("_hex").agg(F.max("_len").alias("_len"))
-    longest = longest.withColumn("_net", hex_bounds(F.col("_hex"), F.col("_len"))[0])
-    answers = lookup_join(
-        longest, blocks.drop("_last"), ["_len", "_net"], "inner", None, ["_hex"], broadcast_bytes, stored=True, **join_options
+    probes = spans.withColumn("_len", F.explode(_lengths(lengths)))
+    probes = probes.withColumn("_net", hex_bounds(F.col("seg_lo"), F.col("_len"))[0])
+    covered = lookup_join(
+        probes,
+        blocks.drop("_end"),
+        ["_len", "_net"],
+        "inner",
+        residual=F.col("seg_lo").between(F.col("_first"), F.col("_last")),
+        salt_by=["seg_lo"],
+        broadcast_bytes=broadcast_bytes,
+        stored=True,
     )
-    answers = answers.select("_hex", *labels).checkpoint()
-    joined = lookup_join(
-        keyed, answers, ["_hex"], "left", None, salt_by or df.columns, broadcast_bytes, stored=True, **join_options
+    best = F.max(F.struct("_len", *labels)).alias("_best")
+    return covered.groupBy("seg_lo", "seg_hi").agg(best).select(
+        "seg_lo", "seg_hi", *[f"_best.{c}" for c in labels]
     )
-    return joined.select(*df.columns, *labels)
+
+
+def locate_v6(df, cidrs, labels, ip, inclusive=True, broadcast_bytes=BROADCAST_BYTES):
+    """Labels of the most specific IPv6 block of each address of a table or stream."""
+    segments = longest_prefix_hex_segments(cidrs, labels, inclusive, broadcast_bytes).checkpoint()
+    return locate_in(df, segments, labels, ipv6_hex(F.col(ip)), v6_cell, V6_CELLS, broadcast_bytes)
 
 
 def locate_block(df, cidrs, labels, ip, **options):
-    """Lookup of mixed addresses: those with a colon in the IPv6 blocks, the others in the IPv4 ones."""
+    """Lookup of mixed addresses: those with a colon in the IPv6 blocks, the others in the IPv4 ones.
+
+    For tables and streams; `options` go to both lookups.
+    """
     is_v6 = F.col("cidr").contains(":")
     four = locate_v4(df, cidrs.where(~is_v6), labels, ip, **options)
     four = four.withColumnsRenamed({c: f"_4_{c}" for c in labels})

@@ -11,11 +11,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logweir.functions.ip import cidr_range, ip_to_long
-from logweir.operators.skew import BROADCAST_BYTES, lookup_join, measured_bytes
+from logweir.operators.segments import V4_CELLS, locate_in, v4_cell
+from logweir.operators.skew import BROADCAST_BYTES
 from logweir.schema import DWD_COLUMNS, GEO_LABELS
 
-SEGMENT = ["seg_lo", "seg_hi"]
-
 
 def geo_ranges(raw):
     """Address ranges with numeric bounds; rows whose addresses cannot be read are left out."""
@@ -77,51 +76,12 @@ def save_segments(segments, path):
     return segments.sparkSession.read.parquet(path)
 
 
-def locate(
-    df, segments, labels, ip="client_ip", salt_by=None, broadcast_bytes=BROADCAST_BYTES, **join_options
-):
+def locate(df, segments, labels, ip="client_ip", broadcast_bytes=BROADCAST_BYTES):
     """`df` with the labels of the segment that holds its address, nulls where there is none.
 
-    Segments that fit a broadcast are joined twice in one stage: those inside one /24 block on
-    that block, the others on each /16 block they touch (at most 65,536 extra rows). Since segments
-    are disjoint, a block then holds at most 256 of either kind, and only one can match. Beyond the
-    broadcast size the segments are cut at /24 blocks and joined by one salted shuffle. `segments`
-    should be a stored table: it is measured before it is joined.
+    For tables and streams. `segments` should be a stored table: it is measured before it is joined.
     """
-    number = F.col("_ip")
-    held = number.between(F.col("seg_lo"), F.col("seg_hi"))
-    located = df.withColumn("_ip", ip_to_long(F.col(ip)))
-    if measured_bytes(segments) <= broadcast_bytes:
-        one_block = F.shiftright("seg_lo", 8) == F.shiftright("seg_hi", 8)
-        narrow = segments.where(one_block).withColumn("_b24", F.shiftright("seg_lo", 8))
-        wide = _blocks(segments.where(~one_block), 16, "_b16")
-        located = located.withColumns({"_b24": F.shiftright(number, 8), "_b16": F.shiftright(number, 16)})
-        for block, part in (("_b24", narrow), ("_b16", wide)):
-            part = part.select(block, *SEGMENT, *[F.col(c).alias(f"_{c}{block}") for c in labels])
-            located = located.join(
-                F.broadcast(part.withColumnRenamed(block, f"_s{block}")),
-                (F.col(block) == F.col(f"_s{block}")) & held,
-                "left",
-            ).drop(*SEGMENT, f"_s{block}")
-        merged = [F.coalesce(f"_{c}_b24", f"_{c}_b16").alias(c) for c in labels]
-        return located.select(*df.columns, *merged)
-    located = located.withColumn("_block", F.shiftright(number, 8))
-    return lookup_join(
-        located,
-        _blocks(segments, 8, "_block"),
-        ["_block"],
-        residual=held,
-        salt_by=salt_by or df.columns,
-        broadcast_bytes=broadcast_bytes,
-        stored=True,
-        **join_options,
-    ).select(*df.columns, *labels)
-
-
-def _blocks(segments, bits, name):
-    """One row per block of 2^bits addresses that a segment touches."""
-    first, last = F.shiftright("seg_lo", bits), F.shiftright("seg_hi", bits)
-    return segments.withColumn(name, F.explode(F.sequence(first, last)))
+    return locate_in(df, segments, labels, ip_to_long(F.col(ip)), v4_cell, V4_CELLS, broadcast_bytes)
 
 
 def detail_rows(ods, segments, keep=(), **options):

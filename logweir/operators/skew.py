@@ -12,15 +12,19 @@ ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 100_000
 
 
-def measured_bytes(df):
-    """Size of a table's rows in memory: its text plus a fixed share per row and column.
+def sized_bytes(df):
+    """Size of a row in memory: its text plus a fixed share per row and column.
 
     Arrays, maps and structs are counted by their text form.
     """
     sized = [f.name for f in df.schema.fields if not isinstance(f.dataType, FIXED_WIDTH)]
     text = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in sized), F.lit(0))
-    rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text.cast("bigint")), F.lit(0))).first()
-    return rows * (16 + 12 * len(df.columns)) + chars
+    return text.cast("bigint") + 16 + 12 * len(df.columns)
+
+
+def measured_bytes(df):
+    """Size of a table's rows in memory."""
+    return df.agg(F.coalesce(F.sum(sized_bytes(df)), F.lit(0))).first()[0]
 
 
 def hot_keys(df, keys, rows_per_task=ROWS_PER_TASK):

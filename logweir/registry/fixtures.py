@@ -102,6 +102,15 @@ def geo_raw(spark, sf_dir):
     )
 
 
+def geo_raw_wide(spark, sf_dir):
+    """The ranges and one that covers every address."""
+    everywhere = spark.range(1).selectExpr(
+        "'0.0.0.0' AS ip_start", "'255.255.255.255' AS ip_end", "'ALL' AS country", "'all' AS province",
+        "'everywhere' AS city", "'op_all' AS operator"
+    )
+    return geo_raw(spark, sf_dir).unionByName(everywhere)
+
+
 def saved_geo(spark, sf_dir):
     """The location dimension, built once and stored."""
     return save_segments(geo_segments(geo_raw(spark, sf_dir)), work_folder(spark, "geo"))
@@ -145,6 +154,21 @@ def ipv6_clients(spark, sf_dir):
     )
 
 
+def mixed_blocks(spark, sf_dir):
+    """Blocks of both kinds in one table."""
+    return cidr_blocks(spark, sf_dir).unionByName(cidr6_blocks(spark, sf_dir))
+
+
+def mixed_clients(spark, sf_dir):
+    """An address per event in one column: IPv4 for even events, IPv6 for odd ones."""
+    four = built(
+        events(spark, sf_dir).where("event_id % 2 = 0"),
+        event_id="event_id",
+        client_ip="concat('10.', user_id % 8, '.', event_id % 4 * 4, '.', 1 + user_id % 5 * 50)",
+    )
+    return four.unionByName(ipv6_clients(spark, sf_dir).where("event_id % 2 = 1"))
+
+
 def chunk_files(spark, rows):
     """Files per chunk: at least one per core, and more once a file would pass ROWS_PER_FILE."""
     return max(2, min(spark.sparkContext.defaultParallelism, 16), math.ceil(rows / CHUNKS / ROWS_PER_FILE))

@@ -46,6 +46,8 @@ numbered as (select *, {number('ip_start')} lo, {number('ip_end')} hi,
   concat_ws('-', ip_start, ip_end, country, province, city, "operator") member from raw),
 geo as (select * from numbered where lo is not null
   qualify row_number() over (partition by hi order by member) = 1)"""
+WIDE_GEO = GEO.replace("from raw)", """from (from raw union all
+ select '0.0.0.0', '255.255.255.255', 'ALL', 'all', 'everywhere', 'op_all'))""")
 LABELS = 'country, province, city, "operator"'
 LOCATED = f"""asked as (select *, {number('client_ip')} ip from dns),
 located as (select a.*, {', '.join(f'case when g.lo <= a.ip then g.{c} end {c}' for c in ('country', 'province', 'city', '"operator"'))}
@@ -77,14 +79,40 @@ def bits(groups):
 
 
 def text6(groups):
-    plain = f"array_to_string(list_transform({groups}, lambda x: lower(to_hex(x))), ':')"
-    return f"regexp_replace({plain}, '^(.*?)(?:^|:)(?:0+(?::|$)){{2,8}}', '\\1::')"
+    """Short text of eight groups: the first run of two or more zeros becomes `::`, by the places of its ends."""
+    texts = f"list_transform({groups}, lambda x: lower(to_hex(x)))"
+    starts = " ".join(f"when g[{i}] = 0 and g[{i + 1}] = 0 then {i}" for i in range(1, 8))
+    ends = "coalesce(list_min(list_filter([1, 2, 3, 4, 5, 6, 7, 8], lambda i: i > a and g[i] <> 0)), 9)"
+    short = "array_to_string(t[1:a - 1], ':') || '::' || array_to_string(t[b:8], ':')"
+    return f"""(select case when a is null then array_to_string(t, ':') else {short} end
+ from (select *, {ends} b from (select *, case {starts} end a from (select {groups} g, {texts} t))))"""
 
 
 def good_event(expression):
     return f"case when event_id % 1009 = 5 then null else {expression} end"
 
 
+BLOCK6_TEXT = """'2001:db8:' || lower(to_hex(c_custkey % 2000)) || '::' || lower(to_hex(c_custkey % 16)) || ':0:' || lower(to_hex(c_custkey * 7 % 65536)) || '/' || len"""
+# IPv6 addresses, distinct networks and an address per prefix length in use.
+SIX = f"""asked6 as (select event_id, user_id, {bits(EVENT6)} b from events where event_id % 1009 <> 5),
+ nets as (select net, member, len, left(b, len) p from (select *, {bits(BLOCK6)} b, {BLOCK6_TEXT} || '-' || net member
+   from (select *, [32, 44, 47, 48, 50, 64, 81, 92, 96, 128][c_custkey % 10 + 1] len, 'net_' || (c_custkey % 1000) net from customer))
+  qualify row_number() over (partition by len, p order by member) = 1),
+ probes as (select event_id, b, len from asked6, (select distinct len from nets))"""
+EVENT6_TEXT = f"""case when e.event_id % 1009 = 5 then 'bad-ip'
+  when e.event_id % 3 = 0 then array_to_string(list_transform({EVENT6.replace('event_id', 'e.event_id')}, lambda x: lpad(lower(to_hex(x)), 4, '0')), ':')
+  when e.event_id % 3 = 1 then '2001:db8:' || lower(to_hex(user_id % 65536)) || '::' || lower(to_hex(e.event_id % 16)) || ':0:' || lower(to_hex(e.event_id % 65536))
+  else upper(array_to_string(list_transform({EVENT6.replace('event_id', 'e.event_id')}, lambda x: to_hex(x)), ':')) end"""
+MIXED = f"""with {BLOCKS}, {SIX}, best6 as (select event_id, net from probes q join nets n on q.len = n.len and left(q.b, q.len) = n.p
+  where event_id % 2 = 1 qualify row_number() over (partition by event_id order by n.len desc, member) = 1),
+ four as (select event_id, '10.' || (user_id % 8) || '.' || (event_id % 4 * 4) || '.' || (1 + user_id % 5 * 50) client_ip from events where event_id % 2 = 0),
+ asked4 as (select distinct client_ip, {number('client_ip')} ip from four),
+ best4 as (select client_ip, b.net from asked4 a join bounds4 b on a.ip between b.lo and b.hi
+  qualify row_number() over (partition by client_ip order by b.m desc, b.member) = 1)
+ select event_id, client_ip, net from four left join best4 using (client_ip)
+ union all select e.event_id, {EVENT6_TEXT} client_ip, net from events e left join best6 using (event_id) where e.event_id % 2 = 1"""
+
+
 WANTED = "target_ip in ('106.38.176.185', '106.38.176.117', '106.38.176.118', '106.38.176.116')"
 PREFIX = "nullif(regexp_extract(client_ip, '^(.*)[.]', 1), '')"
 PREFIXES = f"prefixes as (select seq, dns_ip, target_ip, {PREFIX} prefix from dns where {WANTED})"
@@ -180,6 +208,7 @@ ORACLE = {
     "geo_enrich": f"""with {DNS}, {GEO}, {LOCATED} select seq, client_ip, {LABELS}, lower(domain) as domain, "time", target_ip, rcode,
  query_type, lower(authority_record) as authority_record, add_msg, dns_ip, {PARTS} from located where length("time") >= 8""",
     "geo_enrich_asof": f"with {DNS}, {GEO}, {LOCATED} select seq, client_ip, {LABELS} from located",
+    "geo_enrich_wide": f"with {DNS}, {WIDE_GEO}, {LOCATED} select seq, client_ip, {LABELS} from located",
     "cidr_lookup": f"""with {DNS}, {BLOCKS}, asked as (select distinct client_ip, {number('client_ip')} ip from dns),
  best as (select client_ip, b.net from asked a join bounds4 b on a.ip between b.lo and b.hi
   qualify row_number() over (partition by client_ip order by b.m desc, b.member) = 1)
@@ -187,19 +216,11 @@ ORACLE = {
     "cidr_lookup_nearest": f"""with {DNS}, {BLOCKS}, ends as (select * from bounds4 qualify row_number() over (partition by hi order by member) = 1),
  asked as (select seq, client_ip, {number('client_ip')} ip from dns)
  select seq, client_ip, case when lo < a.ip and a.ip < hi then net end net from asked a asof left join ends e on a.ip <= e.hi""",
-    "cidr6_lookup": f"""with asked as (select event_id, user_id, {bits(EVENT6)} b from events where event_id % 1009 <> 5),
- nets as (select net, member, len, left(b, len) p from (select *, {bits(BLOCK6)} b,
-   '2001:db8:' || lower(to_hex(c_custkey % 2000)) || '::' || lower(to_hex(c_custkey % 16)) || ':0:' || lower(to_hex(c_custkey * 7 % 65536)) || '/' || len || '-' || net member
-   from (select *, [32, 44, 47, 48, 50, 64, 81, 92, 96, 128][c_custkey % 10 + 1] len, 'net_' || (c_custkey % 1000) net from customer))
-  qualify row_number() over (partition by len, p order by member) = 1),
- probes as (select event_id, b, len from asked, (select distinct len from nets)),
- best as (select event_id, net from probes q join nets n on q.len = n.len and left(q.b, q.len) = n.p
+    "cidr6_lookup": f"""with {SIX}, best as (select event_id, net from probes q join nets n on q.len = n.len and left(q.b, q.len) = n.p
   qualify row_number() over (partition by event_id order by n.len desc, member) = 1)
- select e.event_id, case when e.event_id % 1009 = 5 then 'bad-ip'
-  when e.event_id % 3 = 0 then array_to_string(list_transform({EVENT6.replace('event_id', 'e.event_id')}, lambda x: lpad(lower(to_hex(x)), 4, '0')), ':')
-  when e.event_id % 3 = 1 then '2001:db8:' || lower(to_hex(user_id % 65536)) || '::' || lower(to_hex(e.event_id % 16)) || ':0:' || lower(to_hex(e.event_id % 65536))
-  else upper(array_to_string(list_transform({EVENT6.replace('event_id', 'e.event_id')}, lambda x: to_hex(x)), ':')) end client_ip, net
- from events e left join best using (event_id)""",
+ select e.event_id, {EVENT6_TEXT} client_ip, net from events e left join best using (event_id)""",
+    "cidr_mixed_lookup": MIXED,
+    "cidr_mixed_stream": MIXED,
     "prefix_counts": f"with {COUNTS} select target_ip, prefix, n from counts",
     "prefix_counts_salted": f"with {COUNTS} select target_ip, prefix, n from counts",
     "prefix_map": f"""with {COUNTS}, entries as (select target_ip, coalesce(prefix, '') p, n,

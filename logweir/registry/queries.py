@@ -166,11 +166,17 @@ def geo_enrich(spark, sf_dir):
 
 @query
 def geo_enrich_asof(spark, sf_dir):
-    """The same lookup without a broadcast: one shuffle on /24 blocks, busy blocks salted."""
+    """The same lookup where the segments of /24 and /16 cells are too many for a broadcast."""
     asked = X.dns(spark, sf_dir).select("seq", "client_ip")
-    return geo.locate(
-        asked, X.saved_geo(spark, sf_dir), GEO_LABELS, salt_by=["seq"], broadcast_bytes=0, rows_per_task=1000
-    )
+    return geo.locate(asked, X.saved_geo(spark, sf_dir), GEO_LABELS, broadcast_bytes=0)
+
+
+@query
+def geo_enrich_wide(spark, sf_dir):
+    """The same with a range over all addresses in the table, which is filed once like any other."""
+    asked = X.dns(spark, sf_dir).select("seq", "client_ip")
+    segments = geo.save_segments(geo.geo_segments(X.geo_raw_wide(spark, sf_dir)), work_folder(spark, "geo-wide"))
+    return geo.locate(asked, segments, GEO_LABELS, broadcast_bytes=0)
 
 
 @query
@@ -189,7 +195,13 @@ def cidr_lookup_nearest(spark, sf_dir):
 @query
 def cidr6_lookup(spark, sf_dir):
     asked, blocks = X.ipv6_clients(spark, sf_dir), X.cidr6_blocks(spark, sf_dir)
-    return cidr.locate_v6(asked, blocks, ["net"], "client_ip", salt_by=["event_id"])
+    return cidr.locate_v6(asked, blocks, ["net"], "client_ip")
+
+
+@query
+def cidr_mixed_lookup(spark, sf_dir):
+    """Addresses of both kinds in one column, blocks of both kinds in one table."""
+    return cidr.locate_block(X.mixed_clients(spark, sf_dir), X.mixed_blocks(spark, sf_dir), ["net"], "client_ip")
 
 
 # Histograms over busy keys
@@ -348,6 +360,16 @@ def proc_window_sum(spark, sf_dir):
     return windows.bounds_as_text(upsert.read_upserts(spark, out, keys))
 
 
+@query
+def cidr_mixed_stream(spark, sf_dir):
+    """The lookup of both kinds of addresses on a stream; the log is not shuffled."""
+    folder = work_folder(spark, "mixed-clients")
+    X.mixed_clients(spark, sf_dir).repartition(4).write.parquet(folder)
+    asked = readers.file_stream(spark, folder, "event_id BIGINT, client_ip STRING", files_per_trigger=2)
+    located = cidr.locate_block(asked, X.mixed_blocks(spark, sf_dir), ["net"], "client_ip")
+    return streamed_table(spark, located, "mixed")
+
+
 @query
 def stream_rate_limited(spark, sf_dir):
     rows = records.parse_records(messages(spark, sf_dir, files=3), keep=["seq"])

@@ -4,10 +4,13 @@ import ipaddress
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from logweir.operators import cidr, geo
+from logweir.functions.ip import hex_after, hex_before
+from logweir.operators import cidr, geo, segments
 from logweir.operators.skew import measured_bytes
 from logweir.schema import GEO_LABELS
+from logweir.session import ensure_checkpoint_dir
 
 BASE = int(ipaddress.ip_address("10.0.0.0"))
 
@@ -42,13 +45,13 @@ def test_range_lookup_is_the_nearest_end_rule(spark, seed, span):
     asked = [text(BASE + rng.randrange(-5, span + 400)) for _ in range(400)] + ["junk", None]
     df = spark.createDataFrame(list(enumerate(asked)), "seq int, client_ip string")
     raw = spark.createDataFrame(ranges, "ip_start string, ip_end string, " + ", ".join(f"{c} string" for c in GEO_LABELS))
-    segments = geo.geo_segments(raw)
+    dimension = geo.geo_segments(raw)
     want = {
         i: None if a in ("junk", None) else nearest_end(ranges, int(ipaddress.ip_address(a)))
         for i, a in enumerate(asked)
     }
-    for options in ({}, {"broadcast_bytes": 0, "rows_per_task": 20, "salt_by": ["seq"]}):
-        got = {r.seq: r.province for r in geo.locate(df, segments, GEO_LABELS, **options).collect()}
+    for options in ({}, {"broadcast_bytes": 0}):
+        got = {r.seq: r.province for r in geo.locate(df, dimension, GEO_LABELS, **options).collect()}
         assert got == want
 
 
@@ -114,7 +117,7 @@ def test_v4_blocks(spark, rule, inclusive):
 
 
 @pytest.mark.parametrize("inclusive", [True, False])
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "rows_per_task": 10}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
 def test_mixed_blocks(spark, inclusive, options):
     rng = random.Random(6)
     blocks = v4_blocks(rng)
@@ -133,6 +136,54 @@ def test_mixed_blocks(spark, inclusive, options):
     assert got == {i: brute_blocks(blocks, a, inclusive) for i, a in enumerate(asked)}
 
 
+def test_hex_neighbours(spark):
+    numbers = [0, 1, 15, 16, 255, 2**64 - 1, 2**64, 2**127, 2**128 - 2, 2**128 - 1]
+    rows = spark.createDataFrame([(f"{n:032x}",) for n in numbers], "h string")
+    got = rows.select("h", hex_after(F.col("h")).alias("after"), hex_before(F.col("h")).alias("before")).collect()
+    for r in got:
+        n = int(r.h, 16)
+        assert r.after == (f"{n + 1:032x}" if n < 2**128 - 1 else None)
+        assert r.before == (f"{n - 1:032x}" if n else None)
+
+
+def test_hex_segments_are_disjoint_and_follow_nesting(spark):
+    """Nested blocks down to single addresses, up to the whole space, at both ends of it."""
+    blocks = [("::/0", "all"), ("2001:db8::/32", "a"), ("2001:db8::/48", "b"), ("2001:db8::/128", "c"), ("2001:db8:0:1::/64", "d"),
+              ("ffff::/16", "e"), ("ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff/128", "f"), ("2001:db8::/48", "b2"), ("x/12", "bad")]
+    table = spark.createDataFrame(blocks, "cidr string, net string")
+    found = sorted((int(r.seg_lo, 16), int(r.seg_hi, 16), r.net) for r in cidr.longest_prefix_hex_segments(table, ["net"]).collect())
+    assert found[0][0] == 0 and found[-1][1] == 2**128 - 1
+    assert all(a[1] + 1 == b[0] for a, b in zip(found, found[1:]))
+    for lo, hi, net in found:
+        for n in (lo, hi):
+            assert net == brute_blocks(blocks[:-1], str(ipaddress.IPv6Address(n)), True)
+
+
+def test_wide_range_is_filed_once(spark):
+    raw = spark.createDataFrame(
+        [("0.0.0.0", "255.255.255.255", "c", "all", "t", "o"), ("10.0.0.0", "10.0.0.255", "c", "p", "t", "o"),
+         ("10.0.255.255", "10.1.0.0", "c", "q", "t", "o")],
+        "ip_start string, ip_end string, " + ", ".join(f"{c} string" for c in GEO_LABELS))
+    filed = segments.filed(geo.geo_segments(raw), segments.v4_cell, segments.V4_CELLS)
+    assert sorted((r.province, r.cell_size) for r in filed.collect()) == [("all", 32), ("p", 8), ("q", 24)]
+
+
+def test_no_blocks_at_all(spark):
+    table = spark.createDataFrame([("x", "n")], "cidr string, net string")
+    asked = spark.createDataFrame([(1, "10.0.0.1"), (2, "::1"), (3, None)], "seq int, client_ip string")
+    got = cidr.locate_block(asked, table, ["net"], "client_ip").collect()
+    assert sorted((r.seq, r.net) for r in got) == [(1, None), (2, None), (3, None)]
+
+
+def test_followed_values_over_many_ranges(spark):
+    rng = random.Random(2)
+    numbers = sorted({rng.randrange(10**6) for _ in range(3000)})
+    rows = spark.createDataFrame([(n,) for n in numbers + numbers[:50]], "v int")
+    ensure_checkpoint_dir(spark)
+    got = {r.v: r.after for r in segments.followed(rows, "v").collect()}
+    assert got == dict(zip(numbers, numbers[1:] + [None]))
+
+
 def test_measured_bytes_grows_with_text(spark):
     small = spark.createDataFrame([("a",)], "v string")
     large = spark.createDataFrame([("a" * 1000,)], "v string")

@@ -2,7 +2,7 @@
 
 import pytest
 
-from logweir.operators import geo, records
+from logweir.operators import cidr, geo, records
 from logweir.registry import fixtures as X
 from logweir.registry.queries import QUERIES
 from logweir.schema import GEO_LABELS
@@ -44,6 +44,13 @@ def test_counts_are_combined_before_the_shuffle(spark, sf_dir):
 def test_large_dimension_is_not_broadcast(spark, sf_dir):
     asked = X.dns(spark, sf_dir).select("seq", "client_ip")
     segments = X.saved_geo(spark, sf_dir)
-    text = plan(geo.locate(asked, segments, GEO_LABELS, salt_by=["seq"], broadcast_bytes=0))
-    assert "SortMergeJoin" in text and "_salt" in text
-    assert "SortMergeJoin" not in plan(geo.locate(asked, segments, GEO_LABELS))
+    text = plan(geo.locate(asked, segments, GEO_LABELS, broadcast_bytes=0))
+    assert "SortMergeJoin" in text and text.count("Generate explode") == plan(asked).count("Generate explode")
+    small = plan(geo.locate(asked, segments, GEO_LABELS))
+    assert "SortMergeJoin" not in small and "Exchange hashpartitioning" not in small
+
+
+def test_block_lookups_leave_the_log_where_it_is(spark, sf_dir):
+    blocks = X.mixed_blocks(spark, sf_dir)
+    text = plan(cidr.locate_block(X.mixed_clients(spark, sf_dir), blocks, ["net"], "client_ip"))
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text

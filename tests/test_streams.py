@@ -194,7 +194,7 @@ def test_staged_chunks_are_in_time_order(spark, sf_dir):
     assert spark.read.parquet(folder).count() == X.dns_lines(spark, sf_dir).count()
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "stream_salts": 4, "salt_by": ["seq"]}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
 def test_located_stream_equals_located_table(spark, sf_dir, tmp_path, options):
     segments = X.saved_geo(spark, sf_dir)
     asked = records.parse_records(Q.messages(spark, sf_dir), keep=["seq"]).select("seq", "client_ip")
