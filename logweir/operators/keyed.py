@@ -35,10 +35,11 @@ def inserted_keys(inserted, key="key"):
 
 def set_members(pairs, wanted, key="key", member="member", **options):
     """Distinct members of the wanted keys; `wanted` is a table of keys."""
-    members = pairs.select(key, member).dropDuplicates()
-    return lookup_join(
-        members, wanted.select(key).distinct(), [key], "left_semi", salt_by=[member], **options
+    # Other keys go before repeats are removed, so that only wanted members are shuffled.
+    of_wanted = lookup_join(
+        pairs.select(key, member), wanted.select(key).distinct(), [key], "left_semi", salt_by=[member], **options
     )
+    return of_wanted.dropDuplicates()
 
 
 def members_of(pairs, keys, key="key", member="member"):

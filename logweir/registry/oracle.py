@@ -172,6 +172,10 @@ REJECTS = f"""with {LINES}, {SPLIT} select seq,
  case when seq % 107 = 3 then 'no message' when len(a) <> 9 then 'field count' else 'short time' end as reason
  from split where seq % 107 = 3 or len(a) <> 9 or length(a[3]) < 8"""
 
+COMMITTED = f"""with {DNS}, timed as (select {T} t from dns where {T} is not null)
+ select strftime(h, '%Y-%m-%d') dt, strftime(h, '%H') hr, n as "rows" from (select date_trunc('hour', t) h, count(*) n from timed group by 1)
+ where h + interval 1 hour <= (select max(t) - interval 10 second from timed)"""
+
 ORACLE = {
     "parse_pipe": f"with {DNS} select seq, {RECORD} from dns",
     "parse_json": f"with {JSON_DNS} select seq, {RECORD} from jdns",
@@ -259,9 +263,16 @@ ORACLE = {
     "text_sink": f"""with {DNS} select '(' || concat_ws(',', {RECORD}) || ')' as value from dns""",
     "upsert_latest": f"""with {DNS} select seq, {ID} id, {RECORD} from dns qualify row_number() over (partition by {ID} order by seq desc) = 1""",
     "upsert_compacted": f"""with {DNS} select client_ip id, domain as value, seq from dns qualify row_number() over (partition by client_ip order by seq desc) = 1""",
-    "partition_commit": f"""with {DNS}, timed as (select {T} t from dns where {T} is not null)
- select strftime(h, '%Y-%m-%d') dt, strftime(h, '%H') hr, n as "rows" from (select date_trunc('hour', t) h, count(*) n from timed group by 1)
- where h + interval 1 hour <= (select max(t) - interval 10 second from timed)""",
+    "upsert_two_runs": f"""with {DNS} select seq, {ID} id, {RECORD} from dns qualify row_number() over (partition by {ID} order by seq desc) = 1""",
+    "partition_commit": COMMITTED,
+    "partition_commit_two_runs": COMMITTED,
+    "table_set_insert": f"""with {DNS} select dns_ip as "key", client_ip member, min(case when rcode = '0' then 0 else 1 end) = 1 added from dns group by 1, 2""",
+    "table_delete_keys": f"""with {DNS}, r as (select seq, {ID} id, {RECORD} from dns),
+ corrected as (select id from r where rcode = '3'), again as (select * from r where rcode = '3' and seq % 7 = 2),
+ kept as (select * from r where id not in (select id from corrected) union all select * from again)
+ select * from kept qualify row_number() over (partition by id order by seq desc) = 1""",
+    "table_delete_fields": f"""with {DNS}, h as (select client_ip as "key", domain field, max(seq) "value" from dns group by 1, 2)
+ select h.* from h anti join (select client_ip, domain from dns where rcode = 'NA') g on h."key" = g.client_ip and h.field = g.domain""",
     "set_insert": f"""with {DNS} select dns_ip as "key", client_ip member, min(case when rcode = '0' then 0 else 1 end) = 1 added from dns group by 1, 2""",
     "set_insert_report": f"""with {DNS}, s as (select dns_ip k, client_ip, min(case when rcode = '0' then 0 else 1 end) = 1 added from dns group by 1, 2)
  select k as "key", count(*) filter (added) n_added, count(*) filter (added) > 0 any_added from s group by 1""",

@@ -13,6 +13,7 @@ from logweir.schema import GEO_LABELS, RECORD_FIELDS, strings
 from logweir.session import work_folder
 from logweir.sources import readers
 from logweir.streaming import commit, sinks, upsert
+from logweir.streaming.keyed_table import KeyedTable
 
 QUERIES = {}
 MESSAGE_SCHEMA = "value BINARY, seq BIGINT"
@@ -482,10 +483,28 @@ def upsert_compacted(spark, sf_dir):
     """Key/value rows put in several batches, folded into one, then read."""
     rows = records.parse_records(messages(spark, sf_dir), keep=["seq"])
     pairs = rows.select(F.col("client_ip").alias("id"), F.col("domain").alias("value"), "seq")
-    out, folded = work_folder(spark, "pairs"), work_folder(spark, "pairs-folded")
-    sinks.run_to_end(upsert.upsert_stream(pairs, out, checkpoint(spark)))
-    upsert.compact_upserts(spark, out, folded)
-    return upsert.read_upserts(spark, folded)
+    out = work_folder(spark, "pairs")
+    sinks.run_to_end(upsert.upsert_stream(pairs, out, checkpoint(spark), compact_every=2))
+    return upsert.read_upserts(spark, out)
+
+
+def half_streams(spark, sf_dir, keep=("seq",)):
+    """The parsed messages as two streams, one after the other, for queries that run on two checkpoints."""
+    half = X.CHUNKS // 2
+    for chunks in (range(half), range(half, X.CHUNKS)):
+        source = work_folder(spark, "messages")
+        files = X.write_chunks(spark, sf_dir, source, chunks)
+        yield records.parse_records(readers.file_stream(spark, source, MESSAGE_SCHEMA, files_per_trigger=files), keep=keep)
+
+
+@query
+def upsert_two_runs(spark, sf_dir):
+    """Two queries with checkpoints of their own write one keyed table, which is folded in between."""
+    out = work_folder(spark, "upsert-runs")
+    for rows in half_streams(spark, sf_dir):
+        sinks.run_to_end(upsert.upsert_stream(records.with_id(rows, keep=["seq"]), out, checkpoint(spark)))
+        upsert.compact_upserts(spark, out)
+    return upsert.read_upserts(spark, out)
 
 
 @query
@@ -496,6 +515,15 @@ def partition_commit(spark, sf_dir):
     return commit.committed_partitions(spark, out).select("dt", "hr", "rows")
 
 
+@query
+def partition_commit_two_runs(spark, sf_dir):
+    """A second query with a checkpoint of its own takes over the open hours of the first."""
+    out = work_folder(spark, "hours-runs")
+    for rows in half_streams(spark, sf_dir, keep=()):
+        sinks.run_to_end(commit.commit_stream(records.with_event_time(rows), out, checkpoint(spark)))
+    return commit.committed_partitions(spark, out).select("dt", "hr", "rows")
+
+
 # Keyed tables
 
 
@@ -518,6 +546,41 @@ def set_insert_report(spark, sf_dir):
     return keyed.inserted_keys(inserted(spark, sf_dir))
 
 
+@query
+def table_set_insert(spark, sf_dir):
+    """The insert on a stored set: only members it does not hold are written."""
+    pairs = resolver_sets(spark, sf_dir)
+    table = KeyedTable(spark, work_folder(spark, "set"), ["key", "member"])
+    for rows in (pairs.where("rcode = '0'"), pairs.where("rcode <> '0'")):
+        table.insert_new(rows.select("key", "member"))
+    added = (F.col("_w") == table.last_write()).alias("added")
+    return table.read("_w").select("key", "member", added)
+
+
+@query
+def table_delete_keys(spark, sf_dir):
+    """Rows by id, without those of ids that were ever corrected, but for what is written after the delete."""
+    rows = records.with_id(X.dns(spark, sf_dir), keep=["seq"])
+    table = KeyedTable(spark, work_folder(spark, "by-id"))
+    table.upsert(rows, ["seq"])
+    table.delete(rows.where("rcode = '3'"))
+    table.upsert(rows.where("rcode = '3' AND seq % 7 = 2"), ["seq"])
+    table.compact()
+    return table.read()
+
+
+@query
+def table_delete_fields(spark, sf_dir):
+    """Hash fields by key and field, without the fields of requests whose code is not a number."""
+    rows = X.dns(spark, sf_dir).select(
+        F.col("client_ip").alias("key"), F.col("domain").alias("field"), F.col("seq").alias("value"), "rcode"
+    )
+    table = KeyedTable(spark, work_folder(spark, "hashes"), ["key", "field"])
+    table.upsert(rows.drop("rcode"), ["value"])
+    table.delete(rows.where("rcode = 'NA'"))
+    return table.read()
+
+
 @query
 def set_members(spark, sf_dir):
     """Domains of all clients that ever got a code that is not a number."""

@@ -13,6 +13,8 @@ from logweir.registry import queries as Q
 from logweir.schema import DEMO_SCHEMA, GEO_LABELS, ODS_SCHEMA
 from logweir.sources import readers
 from logweir.streaming import commit, sinks, upsert
+from logweir.streaming.keyed_table import KeyedTable
+from logweir.streaming.ledger import KEPT
 
 
 def line(seq, time, client="10.0.0.1", domain="a.com", rcode="0"):
@@ -78,7 +80,7 @@ def test_sorted_result_needs_complete_mode(spark, feed, tmp_path):
 
 
 def test_upsert_batch_can_be_repeated_and_compacted(spark, feed, tmp_path):
-    out, folded = str(tmp_path / "o"), str(tmp_path / "f")
+    out = str(tmp_path / "o")
     feed.add(line(1, "20240131120000"), line(2, "20240131120000", rcode="2"))
     feed.add(line(3, "20240131120000", rcode="3"), line(4, "20240131120005"))
     for run in range(2):
@@ -87,9 +89,59 @@ def test_upsert_batch_can_be_repeated_and_compacted(spark, feed, tmp_path):
         sinks.run_to_end(upsert.upsert_stream(rows, out, str(tmp_path / f"c{run}")))
     want = [("20240131120000", "3"), ("20240131120005", "0")]
     assert values(upsert.read_upserts(spark, out).select("time", "rcode")) == want
-    upsert.compact_upserts(spark, out, folded)
-    assert values(upsert.read_upserts(spark, folded).select("time", "rcode")) == want
-    assert os.listdir(folded) == ["batch=1"]
+    assert upsert.compact_upserts(spark, out)
+    assert values(upsert.read_upserts(spark, out).select("time", "rcode")) == want
+    table = KeyedTable(spark, out)
+    table.clean()
+    assert len(glob.glob(f"{out}/data/*")) == 1
+    assert values(upsert.read_upserts(spark, out).select("time", "rcode")) == want
+
+
+def test_two_checkpoints_keep_all_rows_and_compaction_does_not_stop_them(spark, tmp_path):
+    """Batch 0 of the second query must not replace batch 0 of the first; the table is folded between two batches."""
+    out = str(tmp_path / "o")
+    for run in range(2):
+        feed = Feed(spark, tmp_path / f"feed{run}")
+        for i in range(3):
+            feed.add(line(10 * run + i, f"2024013112{run}{i}00"))
+            rows = records.with_id(records.parse_records(feed.stream(), keep=["seq"]), keep=["seq"])
+            sinks.run_to_end(upsert.upsert_stream(rows, out, str(tmp_path / f"c{run}")))
+            if i == 1:
+                assert upsert.compact_upserts(spark, out)
+    assert sorted(r.seq for r in upsert.read_upserts(spark, out).collect()) == [0, 1, 2, 10, 11, 12]
+    assert len(KeyedTable(spark, out).state()[1]["live"]) == 2
+
+
+def repeat_last_batch(checkpoint):
+    """Forget that the last batch of a query is done, as after a failure between writing and noting it."""
+    last = max(glob.glob(f"{checkpoint}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    forget(last)
+
+
+def forget(file):
+    """Remove a file and its checksum."""
+    for name in (file, os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc")):
+        if os.path.exists(name):
+            os.remove(name)
+
+
+def test_deletes_of_a_stream_and_repeated_batches(spark, feed, tmp_path):
+    out, gone = str(tmp_path / "o"), Feed(spark, tmp_path / "gone")
+    feed.add(line(1, "20240131120000"), line(2, "20240131120005"))
+
+    def put():
+        rows = records.with_id(records.parse_records(feed.stream(), keep=["seq"]), keep=["seq"])
+        sinks.run_to_end(upsert.upsert_stream(rows, out, str(tmp_path / "c")))
+
+    put()
+    gone.add(line(3, "20240131120000"))
+    keys = records.with_id(records.parse_records(gone.stream())).select("id")
+    sinks.run_to_end(upsert.delete_stream(keys, out, str(tmp_path / "d")))
+    assert [r.seq for r in upsert.read_upserts(spark, out).collect()] == [2]
+    # The upsert of the deleted row comes again: it was applied, so it does not bring the row back.
+    repeat_last_batch(tmp_path / "c")
+    put()
+    assert [r.seq for r in upsert.read_upserts(spark, out).collect()] == [2]
 
 
 def test_partition_commit_over_a_restart(spark, feed, tmp_path):
@@ -113,17 +165,53 @@ def test_partition_commit_over_a_restart(spark, feed, tmp_path):
     assert spark.read.orc(f"{out}/data").count() == 6
 
 
-def test_partition_commit_delivers_a_repeated_batch_once(spark, feed, tmp_path):
+@pytest.mark.parametrize("noted", [True, False])
+def test_partition_commit_delivers_a_repeated_batch_once(spark, feed, tmp_path, noted):
+    """The last batch is done again, with its state already noted or lost with it."""
     out = str(tmp_path / "o")
     feed.add(line(1, "20240131120000"))
     feed.add(line(2, "20240131140000"))
     for run in range(2):
         rows = records.with_event_time(records.parse_records(feed.stream()))
-        sinks.run_to_end(commit.commit_stream(rows, out, str(tmp_path / f"c{run}")))
+        sinks.run_to_end(commit.commit_stream(rows, out, str(tmp_path / "c")))
+        if not run:
+            repeat_last_batch(tmp_path / "c")
+            if not noted:
+                forget(max(glob.glob(f"{out}/state/*.json")))
     assert spark.read.orc(f"{out}/data").count() == 2
     assert values(commit.committed_partitions(spark, out).select("hr", "rows")) == [("12", 1)]
 
 
+def test_partition_commit_over_a_new_checkpoint(spark, tmp_path):
+    """No hour and no row is lost; rows after publication are recorded; the state stays small over many batches."""
+    out = str(tmp_path / "o")
+    for run in range(2):
+        feed = Feed(spark, tmp_path / f"feed{run}")
+        for i in range(8):
+            feed.add(line(i, f"20240131{10 + i + 4 * run}0000"))
+        rows = records.with_event_time(records.parse_records(feed.stream()))
+        sinks.run_to_end(commit.commit_stream(rows, out, str(tmp_path / f"c{run}")))
+    assert spark.read.orc(f"{out}/data").count() == 16
+    got = values(commit.committed_partitions(spark, out).select("hr", "rows"))
+    # Hours 14 to 15 were published by the first query; the second brings them again, late.
+    assert got == [(str(h), 2 if h in (16, 17) else 1) for h in range(10, 20)]
+    assert values(commit.late_partitions(spark, out).select("hr", "rows")) == [("14", 1), ("15", 1)]
+    assert len(glob.glob(f"{out}/state/*.json")) <= KEPT
+
+
+def test_hours_that_come_and_pass():
+    empty = {"open": {}, "latest": 0, "published": -1}
+    hour = lambda h: f"1970-01-01 {h:02d}"
+    at = lambda h, s=0: (h * 3600 + s) * 1_000_000
+    state, due, late = commit.advanced(empty, {hour(1): (3, at(1, 5)), hour(2): (1, at(2, 9))}, "10 seconds", "1 hour")
+    assert (state["open"], due, late) == ({hour(1): 3, hour(2): 1}, {}, {})
+    state, due, late = commit.advanced(state, {hour(2): (2, at(2, 10))}, "10 seconds", "1 hour")
+    assert (state["open"], due, late) == ({hour(2): 3}, {hour(1): 3}, {})
+    # An hour without rows so far that has passed already is late, an open one still takes rows.
+    state, due, late = commit.advanced(state, {hour(0): (1, at(0)), hour(1): (4, at(1)), hour(2): (1, at(2))}, "10 seconds", "1 hour")
+    assert (state["open"], due, late) == ({hour(2): 4}, {}, {hour(0): 1, hour(1): 4})
+
+
 def test_text_files_are_packed(spark, feed, tmp_path):
     for i in range(6):
         feed.add(line(i, "20240131120000"))
