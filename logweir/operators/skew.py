@@ -9,7 +9,11 @@ from logweir.session import ensure_checkpoint_dir
 FIXED_WIDTH = (BooleanType, DatetimeType, NumericType)
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
-MAX_HOT_KEYS = 100_000
+# Salts of the two stages of a staged aggregation.
+STAGES = (99, 9)
+# The sketch of frequent keys: keys it tells of at most, and keys it keeps counters for.
+REPORTED_KEYS = 2_000
+TRACKED_KEYS = 50_000
 
 
 def sized_bytes(df):
@@ -27,20 +31,23 @@ def measured_bytes(df):
     return df.agg(F.coalesce(F.sum(sized_bytes(df)), F.lit(0))).first()[0]
 
 
-def hot_keys(df, keys, rows_per_task=ROWS_PER_TASK):
-    """Keys with more rows than one task should take, and into how many salts to split each.
+def heavy_hitters(df, keys, more_than):
+    """[(hash of the key, estimated rows)] of the keys that hold more than so many rows, most frequent first.
 
-    The counts are combined before the shuffle. At most total/rows_per_task keys can pass; the
-    threshold is raised until the list is short enough to be sent to every task.
+    One pass with a mergeable frequent-items sketch per task, so nothing but the sketches is shuffled. It tracks
+    TRACKED_KEYS keys; an estimate can be too high by rows / (0.75 * TRACKED_KEYS) at most, and a key that holds
+    more than that is never missed.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = df.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > rows_per_task).checkpoint()
-    limit = rows_per_task
-    while hot.where(F.col("_n") > limit).count() > MAX_HOT_KEYS:
-        limit *= 2
-    salts = F.ceil(F.col("_n") / limit).cast("int").alias("_salts")
-    return hot.where(F.col("_n") > limit).select(*keys, salts)
+    tracked = F.expr(f"approx_top_k(_key, {REPORTED_KEYS}, {TRACKED_KEYS})").alias("found")
+    hashed = df.where(F.col(keys[0]).isNotNull()).select(F.xxhash64(*keys).alias("_key"))
+    found = hashed.agg(tracked).first()["found"] or []
+    return [(r["item"], r["count"]) for r in found if r["count"] > more_than]
+
+
+def hot_keys(df, keys, rows_per_task=ROWS_PER_TASK):
+    """Hashes of keys with more rows than one task should take, and into how many salts to split each."""
+    hot = [(h, -(-n // rows_per_task)) for h, n in heavy_hitters(df, keys, rows_per_task)]
+    return df.sparkSession.createDataFrame(hot, "_hash bigint, _salts int")
 
 
 def lookup_join(
@@ -52,16 +59,15 @@ def lookup_join(
     salt_by=None,
     broadcast_bytes=BROADCAST_BYTES,
     rows_per_task=ROWS_PER_TASK,
-    stream_salts=32,
     stored=False,
 ):
     """Equi-join of a large table with a lookup table that has few rows per key.
 
     The lookup table is broadcast only if its measured size allows. Otherwise both sides shuffle
-    on the key, and the rows of each hot key are spread over as many tasks as its count asks for,
-    with the matching lookup rows repeated once per salt. `salt_by` names columns that tell rows of
-    one key apart (an offset or sequence number); the result does not depend on it. A stream
-    cannot be counted ahead, so there every key gets `stream_salts` salts.
+    on the key, and the rows of each hot key that the sketch finds are spread over as many tasks as
+    its count asks for, with the matching lookup rows repeated once per salt. `salt_by` names columns
+    that tell rows of one key apart (an offset or sequence number); the result does not depend on it.
+    On a stream keys are not salted: a batch holds no more rows than the intake limit lets in.
     `residual` is a further condition over columns of both sides. A lookup table that is not yet
     `stored` is written to the checkpoint folder first, so that measuring it does not compute it twice.
     """
@@ -77,26 +83,22 @@ def lookup_join(
     if measured_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(renamed), _all(match), how).drop(*drop)
 
+    # A null key matches nothing; hashing it by row keeps such rows from meeting in one task.
     spread = F.xxhash64(*(salt_by or left.columns))
+    anywhere = F.pmod(spread, F.lit(1 << 20))
     if left.isStreaming:
-        salted = left.withColumn("_salt", F.pmod(spread, F.lit(stream_salts)).cast("int"))
-        copies = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(stream_salts - 1))))
+        # The rows of a stream cannot be counted ahead; a batch is bounded by the intake limit.
+        salted = left.withColumn("_salt", F.when(F.col(on[0]).isNull(), anywhere).otherwise(F.lit(0)).cast("int"))
+        copies = renamed.withColumn("_r_salt", F.lit(0))
     else:
         hot = hot_keys(left, on, rows_per_task)
-        hot_left = hot.select(*[F.col(k).alias(f"_h_{k}") for k in on], "_salts")
-        same = [F.col(k) == F.col(f"_h_{k}") for k in on]
-        unhot = [f"_h_{k}" for k in on] + ["_salts"]
-        # A null key matches nothing; hashing it by row keeps such rows from meeting in one task.
-        salt = F.when(F.col(on[0]).isNull(), F.pmod(spread, F.lit(1 << 20))).otherwise(
-            F.pmod(spread, F.coalesce("_salts", F.lit(1)))
-        )
-        salted = left.join(F.broadcast(hot_left), _all(same), "left").withColumn(
-            "_salt", salt.cast("int")
-        ).drop(*unhot)
-        hot_right = hot.select(*[F.col(k).alias(f"_r_{k}") for k in on], "_salts")
-        copies = renamed.join(F.broadcast(hot_right), [f"_r_{k}" for k in on], "left").withColumn(
+        of_left = hot.select(F.col("_hash").alias("_h_left"), "_salts")
+        salt = F.when(F.col(on[0]).isNull(), anywhere).otherwise(F.pmod(spread, F.coalesce("_salts", F.lit(1))))
+        salted = left.join(F.broadcast(of_left), F.xxhash64(*on) == F.col("_h_left"), "left")
+        salted = salted.withColumn("_salt", salt.cast("int")).drop("_h_left", "_salts")
+        copies = renamed.join(F.broadcast(hot), F.xxhash64(*[f"_r_{k}" for k in on]) == F.col("_hash"), "left").withColumn(
             "_r_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-        ).drop("_salts")
+        ).drop("_salts", "_hash")
     return salted.join(copies.hint("merge"), _all(match + [F.col("_salt") == F.col("_r_salt")]), how).drop(*drop)
 
 
@@ -118,14 +120,18 @@ def prefix_counts(prefixes):
     return prefixes.groupBy("target_ip", "prefix").agg(F.count(F.lit(1)).alias("n"))
 
 
-def salted_agg(df, keys, aggs, hot, salt_by, stages=(99, 9)):
+def salted_agg(df, keys, aggs, salt_by, hot=None, stages=STAGES):
     """Staged aggregation: rows of a hot key are first reduced per salt, then per coarser salt.
 
     `aggs` maps an output name to (function, column) with function in count, sum, min, max.
-    `hot` is a condition; rows outside it get a single salt. The salt is a hash of `salt_by`, so
-    a task that runs again puts its rows in the same groups. Each stage's salt is a function of
-    the one before. Equal to the plain aggregation for any stages.
+    `hot` is a condition; rows outside it get a single salt. Without one the hot keys are found by a
+    sketch: those that hold more than one part in REPORTED_KEYS of all rows. The salt is a hash of
+    `salt_by`, so a task that runs again puts its rows in the same groups. Each stage's salt is a
+    function of the one before. Equal to the plain aggregation for any stages and any hot keys.
     """
+    if hot is None:
+        found = heavy_hitters(df, keys, df.count() // REPORTED_KEYS)
+        hot = F.xxhash64(*keys).isin([h for h, _ in found])
     merge = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
     salt = F.when(hot, F.pmod(F.xxhash64(*salt_by), F.lit(stages[0]))).otherwise(F.lit(0))
     step = df.withColumn("_salt", salt.cast("int"))
@@ -139,22 +145,8 @@ def salted_agg(df, keys, aggs, hot, salt_by, stages=(99, 9)):
     return step.groupBy(*keys).agg(*merged)
 
 
-def salted_prefix_counts(prefixes, hot_targets, salt_by, stages=(99, 9)):
-    return salted_agg(
-        prefixes,
-        ["target_ip", "prefix"],
-        {"n": ("count", F.lit(1))},
-        F.col("target_ip").isin(*hot_targets),
-        salt_by,
-        stages,
-    )
-
-
-def _parts(counted, keys, weight, limit):
-    """How many parts each key needs so that no part holds much more than `limit`."""
-    total = counted.groupBy(*keys).agg(F.sum(weight).alias("_total"))
-    parts = F.greatest(F.ceil(F.col("_total") / limit), F.lit(1)).cast("int").alias("parts")
-    return total.select(*keys, parts).checkpoint()
+def salted_prefix_counts(prefixes, salt_by, hot=None, stages=STAGES):
+    return salted_agg(prefixes, ["target_ip", "prefix"], {"n": ("count", F.lit(1))}, salt_by, hot, stages)
 
 
 def part_of(text, parts):
@@ -163,21 +155,17 @@ def part_of(text, parts):
     return F.pmod(number, parts).cast("int")
 
 
-def prefix_maps(counts, keys=("target_ip",), max_entries=100_000):
-    """Histogram per key as maps of prefix to count.
+def prefix_maps(counts, keys=("target_ip",), parts=1):
+    """Histogram per key as maps of prefix to count, each key in `parts` maps.
 
-    A key with many prefixes is given as several maps, each of about `max_entries`, so that no
-    single row has to hold an unbounded group. Together the parts hold every prefix once.
+    The parts hold every prefix once and are the same for any amount of data. Set them so that a part of
+    the largest histogram fits a row.
     """
-    keys = list(keys)
-    ensure_checkpoint_dir(counts.sparkSession)
-    entries = counts.withColumn("prefix", F.coalesce("prefix", F.lit(""))).checkpoint()
-    parts = _parts(entries, keys, F.lit(1), max_entries)
-    placed = lookup_join(entries, parts, keys, "inner", salt_by=["prefix"], stored=True)
-    placed = placed.withColumn("part", part_of(F.col("prefix"), F.col("parts")))
+    entries = counts.withColumn("prefix", F.coalesce("prefix", F.lit("")))
+    placed = entries.withColumn("part", part_of(F.col("prefix"), F.lit(parts)))
     # Sorted by prefix, so that equal histograms are equal rows.
     entry = F.sort_array(F.collect_list(F.struct("prefix", "n")))
-    return placed.groupBy(*keys, "part", "parts").agg(F.map_from_entries(entry).alias("counts"))
+    return placed.groupBy(*keys, "part").agg(F.map_from_entries(entry).alias("counts"))
 
 
 def merge_maps(maps, keys=("target_ip",)):
@@ -186,19 +174,14 @@ def merge_maps(maps, keys=("target_ip",)):
     return entries.groupBy(*keys, "prefix").agg(F.sum("n").alias("n"))
 
 
-def prefix_lists(prefixes, row_id, max_items=100_000):
-    """All prefixes seen per target, repeats included, as sorted arrays of bounded length.
+def prefix_lists(prefixes, row_id, parts=1):
+    """All prefixes seen per target, repeats included, as sorted arrays, each target in `parts` of them.
 
-    A target's rows are split over parts by `row_id`; all parts together hold every row once.
+    A target's rows are split by `row_id`; all parts together hold every row once.
     """
-    ensure_checkpoint_dir(prefixes.sparkSession)
     rows = prefixes.withColumn("prefix", F.coalesce("prefix", F.lit("")))
-    parts = _parts(rows.groupBy("target_ip").agg(F.count(F.lit(1)).alias("n")), ["target_ip"], "n", max_items)
-    placed = lookup_join(rows, parts, ["target_ip"], "inner", salt_by=[row_id], stored=True)
-    placed = placed.withColumn("part", part_of(F.col(row_id).cast("string"), F.col("parts")))
-    return placed.groupBy("target_ip", "part", "parts").agg(
-        F.sort_array(F.collect_list("prefix")).alias("prefixes")
-    )
+    placed = rows.withColumn("part", part_of(F.col(row_id).cast("string"), F.lit(parts)))
+    return placed.groupBy("target_ip", "part").agg(F.sort_array(F.collect_list("prefix")).alias("prefixes"))
 
 
 def histogram_lines(maps):

@@ -32,13 +32,21 @@ def client_window_counts(timed, size="2 minutes", slide="30 seconds", watermark=
     return windowed(timed, size, slide, watermark=watermark)
 
 
-def with_arrival_time(df, column="arrival_ts"):
-    """Adds the time a row is processed, for windows over arrival rather than event time."""
-    return df.withColumn(column, F.current_timestamp())
+def with_arrival_time(df, column="arrival_ts", transport=None):
+    """Adds the time a row arrives, for windows over arrival rather than event time.
+
+    `transport` names the time stamp the transport gives a message (`timestamp` of a Kafka row); without one it is
+    the clock of the batch.
+    """
+    return df.withColumn(column, F.col(transport).cast("timestamp") if transport else F.current_timestamp())
 
 
-def arrival_window_sums(df, arrival="arrival_ts", watermark=None):
-    """Sum of ones per client over arrival time, 2 minutes every 30 seconds."""
+def arrival_window_sums(df, arrival="arrival_ts", watermark="1 minute"):
+    """Sum of ones per client over arrival time, 2 minutes every 30 seconds.
+
+    The arrival clock does not go back by more than `watermark`, so on a stream the state of a window is dropped
+    that long after its end.
+    """
     total = F.sum("one").alias("n")
     return windowed(df.withColumn("one", F.lit(1)), "2 minutes", "30 seconds", time=arrival, agg=total, watermark=watermark)
 

@@ -227,15 +227,13 @@ ORACLE = {
     "cidr_mixed_stream": MIXED,
     "prefix_counts": f"with {COUNTS} select target_ip, prefix, n from counts",
     "prefix_counts_salted": f"with {COUNTS} select target_ip, prefix, n from counts",
-    "prefix_map": f"""with {COUNTS}, entries as (select target_ip, coalesce(prefix, '') p, n,
-  cast(ceil(count(*) over (partition by target_ip) / 10.0) as int) parts from counts)
- select target_ip, {md5_part('p', 'parts')} part, parts, string_agg(p || '=' || n, ', ' order by p) counts from entries group by 1, 2, 3""",
+    "prefix_map": f"""with {COUNTS}, entries as (select target_ip, coalesce(prefix, '') p, n from counts)
+ select target_ip, {md5_part('p', '4')} part, string_agg(p || '=' || n, ', ' order by p) counts from entries group by 1, 2""",
     "prefix_map_merged": f"with {COUNTS} select target_ip, coalesce(prefix, '') prefix, n from counts",
     "histogram_text": f"""with {COUNTS} select '(' || target_ip || ',{{' || string_agg(coalesce(prefix, '') || '=' || n, ', ' order by coalesce(prefix, '')) || '}})' as value
  from counts group by target_ip""",
-    "prefix_list": f"""with {DNS}, {PREFIXES}, rows as (select seq, target_ip, coalesce(prefix, '') p,
-  cast(ceil(count(*) over (partition by target_ip) / 500.0) as int) parts from prefixes)
- select target_ip, {md5_part('cast(seq as varchar)', 'parts')} part, parts, string_agg(p, ',' order by p) prefixes from rows group by 1, 2, 3""",
+    "prefix_list": f"""with {DNS}, {PREFIXES}, rows as (select seq, target_ip, coalesce(prefix, '') p from prefixes)
+ select target_ip, {md5_part('cast(seq as varchar)', '16')} part, string_agg(p, ',' order by p) prefixes from rows group by 1, 2""",
     "digit_partition": f"""with {COUNTS} select target_ip, cast(right(target_ip, 1) as int) % 4 "partition", count(*) prefixes,
  cast(sum(n) as bigint) requests from counts group by 1, 2""",
     "hop_count_top10": TOP10,
@@ -251,6 +249,7 @@ ORACLE = {
  where ws + interval 2 minute <= (select max(t) - interval 10 second from timed) group by ws, client_ip""",
     "late_data_dropped": LATE,
     "proc_window_sum": f"with {DNS}, {ARRIVED} select {bounds()}, client_ip, count(*) n from {hop('arrived')} group by ws, client_ip",
+    "arrival_clock_windows": f"with {DNS} select client_ip, count(*) n from dns where domain like '%com' group by 1",
     "stream_rate_limited": f"with {DNS} select seq, {RECORD} from dns",
     "stream_table_scan": f'with {JSON_DNS} select client_ip from jdns where length("time") >= 8',
     "stream_restart": f"with {DNS} select seq, {RECORD} from dns",

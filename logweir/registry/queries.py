@@ -219,18 +219,18 @@ def prefix_counts(spark, sf_dir):
 
 @query
 def prefix_counts_salted(spark, sf_dir):
-    return skew.salted_prefix_counts(prefixes(spark, sf_dir), X.TARGETS[:1], ["seq"])
+    return skew.salted_prefix_counts(prefixes(spark, sf_dir), ["seq"])
 
 
 @query
 def prefix_map(spark, sf_dir):
-    maps = skew.prefix_maps(skew.prefix_counts(prefixes(spark, sf_dir)), max_entries=10)
+    maps = skew.prefix_maps(skew.prefix_counts(prefixes(spark, sf_dir)), parts=4)
     return _map_text(maps)
 
 
 def _map_text(maps):
     entries = F.transform(F.map_entries("counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    return maps.select("target_ip", "part", "parts", F.array_join(entries, ", ").alias("counts"))
+    return maps.select("target_ip", "part", F.array_join(entries, ", ").alias("counts"))
 
 
 @query
@@ -252,7 +252,7 @@ def histogram_text(spark, sf_dir):
 
 @query
 def prefix_list(spark, sf_dir):
-    lists = skew.prefix_lists(prefixes(spark, sf_dir), "seq", max_items=500)
+    lists = skew.prefix_lists(prefixes(spark, sf_dir), "seq", parts=16)
     return lists.withColumn("prefixes", F.array_join("prefixes", ","))
 
 
@@ -353,12 +353,25 @@ def late_data_dropped(spark, sf_dir):
 def proc_window_sum(spark, sf_dir):
     """Sums over arrival time in update mode; the upsert sink keeps the last sum of a window."""
     rows = records.domain_ends_with(records.parse_records(messages(spark, sf_dir), keep=["seq"]))
-    arrived = rows.withColumn("arrival_ts", F.timestamp_seconds(F.lit(1709251200) + F.expr("seq div 4") * 3))
-    sums = windows.arrival_window_sums(arrived)
+    sent = rows.withColumn("sent", F.timestamp_seconds(F.lit(1709251200) + F.expr("seq div 4") * 3))
+    return windows.bounds_as_text(arrival_sums(spark, windows.with_arrival_time(sent, transport="sent")))
+
+
+def arrival_sums(spark, arrived):
+    """The sums of a stream over arrival windows, the last one of each window and client."""
     keys = ["window_start", "window_end", "client_ip"]
     out = work_folder(spark, "arrival")
+    sums = windows.arrival_window_sums(arrived)
     sinks.run_to_end(upsert.upsert_stream(sums, out, checkpoint(spark), keys, (), "update"))
-    return windows.bounds_as_text(upsert.read_upserts(spark, out, keys))
+    return upsert.read_upserts(spark, out, keys)
+
+
+@query
+def arrival_clock_windows(spark, sf_dir):
+    """Windows on the clock of the batches. A row is in four of them whenever it comes, which the totals show."""
+    rows = records.domain_ends_with(records.parse_records(messages(spark, sf_dir), keep=["seq"]))
+    sums = arrival_sums(spark, windows.with_arrival_time(rows))
+    return sums.groupBy("client_ip").agg((F.sum("n") / 4).cast("bigint").alias("n"))
 
 
 @query

@@ -23,31 +23,31 @@ def requests(spark):
 @pytest.mark.parametrize("stages", [(1,), (9,), (99,), (99, 9), (7, 5, 2)])
 def test_salted_equals_plain(requests, stages):
     plain = values(skew.prefix_counts(requests))
-    assert values(skew.salted_prefix_counts(requests, ["t.5"], ["seq"], stages)) == plain
+    assert values(skew.salted_prefix_counts(requests, ["seq"], F.col("target_ip") == "t.5", stages)) == plain
 
 
 def test_salted_sum_min_max(requests):
     aggs = {"s": ("sum", "seq"), "lo": ("min", "seq"), "hi": ("max", "seq"), "n": ("count", "seq")}
-    got = skew.salted_agg(requests, ["target_ip"], aggs, F.lit(True), ["seq"])
+    got = skew.salted_agg(requests, ["target_ip"], aggs, ["seq"], F.lit(True))
     plain = requests.groupBy("target_ip").agg(
         F.sum("seq").alias("s"), F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("seq").alias("n")
     )
     assert values(got) == values(plain)
 
 
-@pytest.mark.parametrize("limit", [3, 10, 1000])
-def test_maps_hold_every_entry_once(requests, limit):
+@pytest.mark.parametrize("parts", [1, 4, 100])
+def test_maps_hold_every_entry_once(requests, parts):
     counts = skew.prefix_counts(requests).withColumn("prefix", F.coalesce("prefix", F.lit("")))
-    maps = skew.prefix_maps(counts, max_entries=limit)
+    maps = skew.prefix_maps(counts, parts=parts)
     assert values(skew.merge_maps(maps)) == values(counts)
     again = maps.unionByName(maps)
     assert values(skew.merge_maps(again)) == values(counts.withColumn("n", F.col("n") * 2))
-    assert limit < 1000 or maps.count() == 5
+    assert parts > 1 or maps.count() == 5
 
 
 def test_lists_hold_every_row_once(requests):
-    lists = skew.prefix_lists(requests, "seq", max_items=100).collect()
-    assert max(r.parts for r in lists) > 1
+    lists = skew.prefix_lists(requests, "seq", parts=8).collect()
+    assert {r.part for r in lists} == set(range(8))
     got = Counter((r.target_ip, p) for r in lists for p in r.prefixes)
     assert got == Counter((r.target_ip, r.prefix or "") for r in requests.collect())
 
@@ -74,14 +74,24 @@ def test_lookup_join_paths_agree(spark, how):
 
 def test_hot_keys_are_split(spark):
     left = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('k', id)) k")
-    hot = {r.k: r._salts for r in skew.hot_keys(left, ["k"], rows_per_task=100).collect()}
-    assert hot == {"hot": 4}
+    hot = skew.hot_keys(left, ["k"], rows_per_task=100).collect()
+    of_hot = left.where("k = 'hot'").select(F.xxhash64("k").alias("h")).first().h
+    assert [(r._hash, r._salts) for r in hot] == [(of_hot, 4)]
     right = left.select("k").distinct().withColumn("v", F.lit(1))
     joined = skew.lookup_join(left, right, ["k"], broadcast_bytes=0, rows_per_task=100, salt_by=["id"])
     assert "_salt" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.where("v = 1").count() == 1000
 
 
+def test_salted_counts_find_their_hot_keys_by_a_sketch(requests, monkeypatch):
+    found = skew.heavy_hitters(requests, ["target_ip"], 1000)
+    top = requests.where("target_ip = 't.5'")
+    assert found == [(top.select(F.xxhash64("target_ip").alias("h")).first().h, top.count())]
+    monkeypatch.setattr(skew, "REPORTED_KEYS", 50)
+    assert values(skew.salted_prefix_counts(requests, ["seq"])) == values(skew.prefix_counts(requests))
+    assert skew.heavy_hitters(requests.limit(0), ["target_ip", "prefix"], 0) == []
+
+
 def test_digit_placement(spark):
     keys = ["106.38.176.185", "106.38.176.117", "106.38.176.118", "106.38.176.116", "x"]
     placed = skew.place_by_digit(spark.createDataFrame([(k,) for k in keys], "k string"), "k", 4)

@@ -72,6 +72,18 @@ def test_late_rows_are_dropped_once_their_window_is_closed(spark, feed, tmp_path
     assert [r.n for r in got.collect()] == [1]
 
 
+def test_arrival_state_falls_as_the_clock_goes_on(spark, feed, tmp_path):
+    for minute in (0, 1, 30, 60):
+        feed.add(*[line(minute, f"2024013112{minute:02d}00" if minute < 60 else "20240131130000", client=f"10.0.{minute}.{i}") for i in range(5)])
+    timed = records.with_event_time(records.parse_records(feed.stream()))
+    sums = windows.arrival_window_sums(windows.with_arrival_time(timed, transport="event_time"))
+    writer = sinks.stream_writer(sums, "noop", "update", {"checkpointLocation": str(tmp_path / "c")})
+    query = sinks.run_to_end(sinks.triggered(writer).start())
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    # Four windows a row; those of the first half hour are gone at the end.
+    assert max(held) > held[-1] and held[-1] <= 5 * 4
+
+
 def test_sorted_result_needs_complete_mode(spark, feed, tmp_path):
     feed.add(line(1, "20240131120000"))
     top = layers.hop_top_clients(feed.stream())
