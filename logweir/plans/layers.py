@@ -2,6 +2,7 @@
 
 from logweir.operators.geo import detail_rows
 from logweir.operators.records import (
+    demo_rows,
     domain_ends_with,
     ods_rows,
     parse_records,
@@ -25,6 +26,12 @@ def rejects_load(messages, table, checkpoint, path=None, body="json", keep=(), e
     return to_table(rows, table, checkpoint, path, partition_by=("reason",), every=every)
 
 
+def demo_load(messages, table, checkpoint, path=None, body="json", keep=(), every=None):
+    """Messages to the date-partitioned demo table: an id of its own and the code as a number."""
+    rows = demo_rows(parse_records(messages, body, keep=keep), keep)
+    return to_table(rows, table, checkpoint, path, every=every)
+
+
 def dwd_load(spark, ods_table, segments, table, checkpoint, path=None, keep=(), every=None, **options):
     """Follow the raw table and fill the detail table with located rows."""
     rows = detail_rows(table_stream(spark, ods_table), segments, keep, **options)

@@ -253,6 +253,8 @@ ORACLE = {
     "stream_rate_limited": f"with {DNS} select seq, {RECORD} from dns",
     "stream_table_scan": f'with {JSON_DNS} select client_ip from jdns where length("time") >= 8',
     "stream_restart": f"with {DNS} select seq, {RECORD} from dns",
+    "demo_load": f"""with {JSON_DNS} select seq, {ID} id, {RECORD.replace('rcode', 'coalesce(try_cast(rcode as int), 99) as rcode')}, {PARTS}
+ from jdns where length("time") >= 8""",
     "ods_load": f'with {JSON_DNS} select {RECORD}, {PARTS} from jdns where length("time") >= 8',
     "dwd_load": f"""with {JSON_DNS}, {GEO}, {LOCATED.replace('from dns)', 'from jdns)')} select client_ip, {LABELS}, lower(domain) as domain, "time", target_ip,
  rcode, query_type, lower(authority_record) as authority_record, add_msg, dns_ip, {PARTS} from located where length("time") >= 8""",
@@ -260,6 +262,7 @@ ORACLE = {
     "table_limit": f"with {DNS} select seq, {RECORD} from dns order by seq limit 3",
     "csv_sink": f"with {DNS} select {BLANK_NULL} from dns",
     "text_sink": f"""with {DNS} select '(' || concat_ws(',', {RECORD}) || ')' as value from dns""",
+    "text_rolled_twice": f"""with {DNS} select '(' || concat_ws(',', {RECORD}) || ')' as value from dns""",
     "upsert_latest": f"""with {DNS} select seq, {ID} id, {RECORD} from dns qualify row_number() over (partition by {ID} order by seq desc) = 1""",
     "upsert_compacted": f"""with {DNS} select client_ip id, domain as value, seq from dns qualify row_number() over (partition by client_ip order by seq desc) = 1""",
     "upsert_two_runs": f"""with {DNS} select seq, {ID} id, {RECORD} from dns qualify row_number() over (partition by {ID} order by seq desc) = 1""",

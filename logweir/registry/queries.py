@@ -12,7 +12,7 @@ from logweir.registry import fixtures as X
 from logweir.schema import GEO_LABELS, RECORD_FIELDS, strings
 from logweir.session import work_folder
 from logweir.sources import readers
-from logweir.streaming import commit, sinks, upsert
+from logweir.streaming import commit, rolling, sinks, upsert
 from logweir.streaming.keyed_table import KeyedTable
 
 QUERIES = {}
@@ -422,6 +422,16 @@ def ods_load(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def demo_load(spark, sf_dir):
+    name = new_table("demo")
+    stream = messages(spark, sf_dir, "json")
+    sinks.run_to_end(
+        layers.demo_load(stream, name, checkpoint(spark), work_folder(spark, "demo"), keep=["seq"])
+    )
+    return spark.table(name)
+
+
 @query
 def rejects_load(spark, sf_dir):
     name = new_table("rejects")
@@ -479,8 +489,21 @@ def text_sink(spark, sf_dir):
     rolled, packed = work_folder(spark, "text"), work_folder(spark, "text-packed")
     rows = records.parse_records(messages(spark, sf_dir))
     sinks.run_to_end(sinks.to_text(rows, rolled, checkpoint(spark), max_rows_per_file=1_000_000))
-    sinks.compact_text(spark, rolled, packed)
-    return readers.text_lines(spark, packed)
+    rolling.roll_text(spark, rolled, packed, idle_seconds=0)
+    return rolling.rolled_text(spark, packed)
+
+
+@query
+def text_rolled_twice(spark, sf_dir):
+    """A stream that is started twice, its files rolled after each run: the second roll reads only the new ones."""
+    source, progress, raw, packed = (work_folder(spark, n) for n in ("messages", "progress", "text", "text-rolled"))
+    half = X.CHUNKS // 2
+    for chunks in (range(half), range(half, X.CHUNKS)):
+        X.write_chunks(spark, sf_dir, source, chunks)
+        rows = records.parse_records(readers.file_stream(spark, source, MESSAGE_SCHEMA))
+        sinks.run_to_end(sinks.to_text(rows, raw, progress))
+        rolling.roll_text(spark, raw, packed, file_bytes=64 * 1024, idle_seconds=0)
+    return rolling.rolled_text(spark, packed)
 
 
 @query

@@ -2,9 +2,6 @@
 
 from pyspark.sql import functions as F
 
-# Fixed value: roll size of the text files, 800 MiB.
-ROLL_BYTES = 800 * 1024 * 1024
-
 
 def stream_writer(df, fmt, mode="append", options=None):
     """Any sink by format name, output mode and options."""
@@ -57,26 +54,6 @@ def to_text(df, path, checkpoint, max_rows_per_file=None, every=None):
     return triggered(stream_writer(tuple_lines(df), "text", options=options), every).start()
 
 
-def compact_text(spark, source, target, file_bytes=ROLL_BYTES):
-    """Rewrite many small text files as files of about `file_bytes`, without a shuffle.
-
-    The scan packs small files into partitions of that size and each partition writes one file.
-    """
-    settings = {
-        "spark.sql.files.maxPartitionBytes": str(file_bytes),
-        "spark.sql.files.openCostInBytes": "0",
-        "spark.sql.files.minPartitionNum": "1",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        spark.read.text(source).write.mode("overwrite").text(target)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def to_jdbc(df, url, table, checkpoint, properties=None, batch_rows=10_000, batch_column=None, every=None):
     """Insert each batch into a JDBC table, a connection per partition and many rows per round trip.
 

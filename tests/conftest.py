@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     session = build_session("tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")

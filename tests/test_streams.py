@@ -12,7 +12,7 @@ from logweir.registry import fixtures as X
 from logweir.registry import queries as Q
 from logweir.schema import DEMO_SCHEMA, GEO_LABELS, ODS_SCHEMA
 from logweir.sources import readers
-from logweir.streaming import commit, sinks, upsert
+from logweir.streaming import commit, rolling, sinks, upsert
 from logweir.streaming.keyed_table import KeyedTable
 from logweir.streaming.ledger import KEPT
 
@@ -224,16 +224,42 @@ def test_hours_that_come_and_pass():
     assert (state["open"], due, late) == ({hour(2): 4}, {}, {hour(0): 1, hour(1): 4})
 
 
-def test_text_files_are_packed(spark, feed, tmp_path):
-    for i in range(6):
-        feed.add(line(i, "20240131120000"))
+def test_text_files_are_rolled_once(spark, feed, tmp_path):
     raw, packed = str(tmp_path / "raw"), str(tmp_path / "packed")
-    sinks.run_to_end(sinks.to_text(records.parse_records(feed.stream()), raw, str(tmp_path / "c")))
+
+    def run(*minutes):
+        for i in minutes:
+            feed.add(line(i, f"2024013112{i:02d}00"))
+        sinks.run_to_end(sinks.to_text(records.parse_records(feed.stream()), raw, str(tmp_path / "c")))
+
+    run(*range(6))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    sinks.compact_text(spark, raw, packed)
+    # Just written: the bin is open, then it has been idle for long enough.
+    assert rolling.roll_text(spark, raw, packed, idle_seconds=3600, roll_seconds=3600) == 0
+    assert rolling.rolled_text(spark, packed).count() == 0
+    assert rolling.roll_text(spark, raw, packed, idle_seconds=0) == 1
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
-    assert len(glob.glob(f"{raw}/*.txt")) == 6 and len(glob.glob(f"{packed}/*.txt")) == 1
-    assert spark.read.text(packed).first().value == "(10.0.0.1,a.com,20240131120000,1.1.1.1,0,1,a.com,m,8.8.8.8)"
+    assert len(glob.glob(f"{raw}/*.txt")) == 6 and len(glob.glob(f"{packed}/*/*.txt")) == 1
+    assert rolling.rolled_text(spark, packed).where("value = '(10.0.0.1,a.com,20240131120000,1.1.1.1,0,1,a.com,m,8.8.8.8)'").count() == 1
+    first = {p: os.path.getmtime(p) for p in glob.glob(f"{packed}/*/*.txt")}
+    assert rolling.roll_text(spark, raw, packed, idle_seconds=0) == 0
+    # The second roll would fail on a file it has packed already, as they are gone.
+    for name in glob.glob(f"{raw}/*.txt"):
+        forget(name)
+    run(7, 8, 9)
+    size = os.path.getsize(glob.glob(f"{raw}/*.txt")[0])
+    assert rolling.roll_text(spark, raw, packed, file_bytes=2 * size, idle_seconds=0) == 2
+    assert {p: os.path.getmtime(p) for p in first} == first and len(glob.glob(f"{packed}/*/*.txt")) == 3
+    assert rolling.rolled_text(spark, packed).count() == 9
+
+
+def test_bins_close_by_size_age_and_idleness():
+    files = [(0, "a", 60), (5, "b", 50), (6, "c", 40), (9, "d", 200), (10, "e", 10)]
+    names = lambda now, **limits: [[f[1] for f in b] for b in rolling.planned(files, now, 100, **limits)]
+    assert names(12, roll_seconds=300, idle_seconds=20) == [["a"], ["b", "c"], ["d"]]
+    assert names(31, roll_seconds=300, idle_seconds=20)[-1] == ["e"]
+    assert names(12, roll_seconds=2, idle_seconds=20)[-1] == ["e"]
+    assert rolling.planned([], 0) == []
 
 
 def test_jdbc_error_fails_the_query(spark, feed, tmp_path):
