@@ -5,20 +5,24 @@ row is scanned on its own, so repeated rows give repeated results and no shuffle
 """
 
 import math
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from logweir.llm.common import let, text_of
 
-#: kind, pattern, least length, group the length is taken of (fixed values).
+#: kind, pattern, least length, group the length is taken of (fixed values). Runs are taken whole, so the least length
+#: can stand in the pattern of `access` and `hex`; a short value of `assign` consumes its text and fails afterwards.
 KINDS = [
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
-    ("access", r"AKIA[A-Z0-9]+", 20, 0),
-    ("hex", r"[0-9a-f]+", 24, 0),
+    ("access", r"AKIA[A-Z0-9]{16,}", 20, 0),
+    ("hex", r"[0-9a-f]{24,}", 24, 0),
 ]
-#: Strings the entropy window looks at. One shorter than the window is a window of its own, unless it is all
+#: Every match of a kind holds one of these, in either case.
+MARKS = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",)}
+#: Strings the entropy window looks at, whole runs. One shorter than the window is a window of its own, unless it is all
 #: digits (cards, accounts, times).
-CANDIDATE = r"(?=[0-9]*[A-Za-z+/_=-]|[0-9]{20})[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9]*[A-Za-z+/_=-]|[0-9]{20})[A-Za-z0-9+/_=-]{16,}"
 WINDOW = 20
 #: class of a window (the first whose pattern holds for all of it) and the bits per character that make it hot, for a
 #: full window; a shorter one needs the same part of the bits it can have.
@@ -38,14 +42,15 @@ um un up ur us ut va ve vi vo we wi wo za ze zu""".split()
 WORDLIKE, STEPLIKE = 0.6, 0.7
 
 
-def located(text, pattern, group=0):
-    """Array of (start, end, of) for the leftmost non-overlapping matches; `of` is the named group."""
+def located(text, pattern, group=0, least=0, marks=()):
+    """Array of (start, end, of) for the leftmost non-overlapping matches; `of` is the named group.
+
+    Only matches whose group has `least` characters are kept, so the array grows with what is found. A text with a
+    match holds one of the `marks` in lower case, if any are given.
+    """
     gaps = F.split(text, pattern, -1)
-    found = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
-        lambda m, g: F.struct(m.alias("m"), g.alias("g")),
-    )
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(
+        m.alias("m"), (F.regexp_extract(m, pattern, group) if group else m).alias("g")))
 
     def walk(found, gaps):
         start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,of:string>>").alias("out"))
@@ -54,17 +59,19 @@ def located(text, pattern, group=0):
             begin = acc["at"] + F.length(F.get(gaps, i))
             end = begin + F.length(F.get(found, i)["m"])
             span = F.struct(begin.alias("start"), end.alias("end"), F.get(found, i)["g"].alias("of"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+            long = F.length(F.get(found, i)["g"]) >= least
+            return F.struct(end.alias("at"), F.when(long, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
         return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])
 
     none = F.array().cast("array<struct<start:int,end:int,of:string>>")
-    return F.when(text.rlike(pattern), let(found, lambda f: let(gaps, lambda g: walk(f, g)))).otherwise(none)
+    # A search for fixed text is much faster than the pattern and rules out most texts.
+    marked = reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(m)) for m in marks], F.lit(not marks))
+    return F.when(marked & text.rlike(pattern), let(found, lambda f: let(gaps, lambda g: walk(f, g)))).otherwise(none)
 
 
 def spans_of(kind, rank, text, pattern, least, group):
-    kept = F.filter(located(text, pattern, group), lambda s: F.length(s["of"]) >= least)
-    return F.transform(kept, lambda s: F.struct(
+    return F.transform(located(text, pattern, group, least, MARKS.get(kind, ())), lambda s: F.struct(
         s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
