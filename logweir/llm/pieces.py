@@ -1,19 +1,21 @@
 """Piece encoding by sampling: forward filtering and backward sampling over the lattice of pieces.
 
-A path's weight is exp(alpha * sum of the pieces' scores). The draws come from a generator seeded by the
-row's key, so a row is cut the same way in any task, order or retry. A character without a piece, and the
-piece mark itself, are written as bytes, so decoding gives back every text. Null texts give null; the empty
-text gives no pieces; a null key seeds like the empty key, and equal rows are cut alike.
+A path's weight is exp(alpha * sum of the pieces' scores). The words of many texts are worked on together: their
+distinct words make one lattice in flat arrays, filtered forward position by position, and all their occurrences
+are sampled backward at once. A draw depends on the row's key, the word's number in the text and the step alone,
+so a row is cut the same way in any batch, task, order or retry. A character without a piece, and the piece mark
+itself, are written as bytes, so decoding gives back every text. Null texts give null; the empty text gives no
+pieces; a null key seeds like the empty key, and equal rows are cut alike. Decoding leaves out control ids.
 """
 
-import bisect
 import hashlib
-import math
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -22,7 +24,23 @@ MARK = "▁"
 ALPHA = 0.0005
 #: No piece reaches over these cuts, so the lattice falls apart there without loss.
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
-CACHED_WORDS, CACHED_LENGTH = 30_000, 32
+#: Words worked on together, and ids decoded together; they bound the memory, not the result.
+TOGETHER, DECODED = 60_000, 500_000
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x):
+    """A bijective scramble of 64-bit values."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def ranges(starts, sizes):
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Vocabulary:
@@ -30,69 +48,196 @@ class Vocabulary:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.weight, self.ids, self.byte, self.raw = {}, {}, {}, {}
+        size = sp.get_piece_size()
+        self.weight, self.ids, self.byte, raw = {}, {}, np.zeros(256, dtype=np.int32), [b""] * size
         lowest = 0.0
-        for i in range(sp.get_piece_size()):
+        for i in range(size):
             piece, score = sp.id_to_piece(i), sp.get_score(i)
             if sp.is_byte(i):
                 self.byte[int(piece[3:-1], 16)] = i
-                self.raw[i] = bytes([int(piece[3:-1], 16)])
+                raw[i] = bytes([int(piece[3:-1], 16)])
             elif not (sp.is_control(i) or sp.is_unknown(i)):
                 plain = piece.replace(MARK, " ")
                 # A piece that crosses a cut cannot be sampled, but can be decoded.
-                self.raw[i] = plain.encode()
+                raw[i] = plain.encode()
                 if "\n" not in plain and " " not in plain.lstrip(" "):
                     self.ids[plain], self.weight[plain] = i, alpha * score
                 lowest = min(lowest, alpha * score)
-        self.fallback = lowest - 1.0
-        self.longest = max(map(len, self.ids), default=1)
-        self.lattice = lru_cache(CACHED_WORDS)(self.built)
-
-    def built(self, word):
-        """For each end: the cumulative chances of the pieces that end there, their starts and ids."""
-        ids, weight, longest = self.ids, self.weight, self.longest
-        forward, arcs = [0.0], [None]
-        for end in range(1, len(word) + 1):
-            starts, found, logs = [], [], []
-            for start in range(max(0, end - longest), end):
-                piece = word[start:end]
-                if piece in ids:
-                    starts.append(start)
-                    found.append((ids[piece],))
-                    logs.append(forward[start] + weight[piece])
-            if not found or starts[-1] != end - 1:
-                raw = word[end - 1].encode("utf-8")
-                starts.append(end - 1)
-                found.append(tuple(self.byte[b] for b in raw))
-                logs.append(forward[end - 1] + self.fallback * len(raw))
-            top = max(logs)
-            sums, total = [], 0.0
-            for value in logs:
-                total += math.exp(value - top)
-                sums.append(total)
-            forward.append(top + math.log(total))
-            arcs.append((sums, starts, found))
-        return arcs
-
-    def sampled(self, text, key, seed=0):
-        """Ids of one sampled path through the lattice of the text."""
-        digest = hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=16).digest()
-        draws = iter(np.random.Generator(np.random.Philox(key=int.from_bytes(digest, "little"))).random(len(text) + 2).tolist())
+        self.fallback, self.size = lowest - 1.0, size
+        self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.raw_size = np.array([len(r) for r in raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.grow()
+
+    def grow(self):
+        """The pieces as a tree of characters; a branch is found by its parent's number and its character."""
+        branches, found = {}, {0: (-1, 0.0)}
+        for plain, i in self.ids.items():
+            at = 0
+            for c in plain:
+                at = branches.setdefault(at << 21 | ord(c), len(branches) + 1)
+            found[at] = (i, self.weight[plain])
+        keys = np.array(list(branches), dtype=np.int64)
+        order = np.argsort(keys)
+        self.branch, self.child = keys[order], order + 1
+        self.piece, self.score = np.full(len(keys) + 1, -1), np.zeros(len(keys) + 1)
+        for at, (i, w) in found.items():
+            self.piece[at], self.score[at] = i, w
+
+    def arcs(self, codes, left):
+        """(length, starts, symbols, weights) of the pieces found in a run of characters, shortest first.
+
+        `left` is how many characters of its word lie at and behind each place. A character without a piece has
+        a symbol of its own beyond the pieces; those characters are returned as well.
+        """
+        at, tree, out, length = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), [], 0
+        strange = np.zeros(0, dtype=np.uint32)
+        while len(at):
+            asked = tree << 21 | codes[at + length].astype(np.int64)
+            place = np.minimum(np.searchsorted(self.branch, asked), len(self.branch) - 1)
+            known = self.branch[place] == asked
+            tree = np.where(known, self.child[place], 0)
+            length += 1
+            piece = self.piece[tree]
+            if length == 1:
+                lone = np.flatnonzero(piece < 0)
+                strange, number = np.unique(codes[lone], return_inverse=True)
+                bytes_of = 1 + (codes[lone] > 0x7F) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
+                symbols, weights = piece.copy(), self.score[tree]
+                symbols[lone], weights[lone] = self.size + number, self.fallback * bytes_of
+                out.append((1, at, symbols, weights))
+            else:
+                hit = piece >= 0
+                out.append((length, at[hit], piece[hit], self.score[tree[hit]]))
+            on = known & (left[at] > length)
+            at, tree = at[on], tree[on]
+        return out, strange
+
+    def lattice(self, words):
+        """The lattice of distinct words: where each word's last node is, the arcs into each node, their symbols.
+
+        Nodes are numbered by place in the word, then by word from the longest on, so the nodes of a place and the
+        arcs that end there follow one another. An arc's share of its node is kept as node * 2**32 + the running
+        sum of shares * 2**32, so one search finds the arc of a draw.
+        """
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(-lengths, kind="stable")
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[order] = np.arange(len(words))
+        sizes = lengths[order]
+        codes = np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le"), dtype=np.uint32)
+        holding = np.cumsum(np.bincount(sizes)[::-1])[::-1]
+        layer = np.r_[0, np.cumsum(holding)]
+        word, place = np.repeat(np.arange(len(words)), sizes), ranges(np.zeros(len(words), dtype=np.int64), sizes)
+        found, strange = self.arcs(codes, sizes[word] - place)
+        ends = [layer[place[at] + length] + word[at] for length, at, _, _ in found]
+        degree = np.bincount(np.concatenate(ends), minlength=layer[-1])
+        first = np.r_[0, np.cumsum(degree)]
+        used = first[:-1].copy()
+        source, symbol, weight = np.zeros(first[-1], dtype=np.int64), np.zeros(first[-1], dtype=np.int64), np.zeros(first[-1])
+        for (_, at, symbols, weights), end in zip(found, ends):
+            to = used[end]
+            source[to], symbol[to], weight[to] = layer[place[at]] + word[at], symbols, weights
+            used[end] += 1
+        forward, share = np.zeros(layer[-1]), np.zeros(first[-1])
+        for p in range(1, len(layer) - 1):
+            begin, end = layer[p], layer[p + 1]
+            low, high = first[begin], first[end]
+            heads = first[begin:end] - low
+            logs = forward[source[low:high]] + weight[low:high]
+            top = np.maximum.reduceat(logs, heads)
+            share[low:high] = np.exp(logs - np.repeat(top, degree[begin:end]))
+            forward[begin:end] = top + np.log(np.add.reduceat(share[low:high], heads))
+        # Running sums within a node do not depend on the other words, so neither does the arc drawn.
+        for j in range(1, degree.max()):
+            to = first[:-1][degree > j] + j
+            share[to] += share[to - 1]
+        node = np.repeat(np.arange(len(degree)), degree)
+        last = first[1:] - 1
+        bound = np.floor(share / share[last[node]] * 2.0**32).astype(np.int64)
+        bound[last[degree > 0]] = 1 << 32
+        return layer[lengths] + rank, (node << 32) + bound, source, symbol, strange
+
+    def drawn(self, words, which, seeds):
+        """(ids, count of ids per occurrence) of one sampled path for each occurrence of a word."""
+        final, bounds, source, symbol, strange = self.lattice(words)
+        node, live, state = final[which], np.arange(len(which)), seeds
+        counts, steps = np.zeros(len(which), dtype=np.int64), []
+        while len(live):
+            with np.errstate(over="ignore"):
+                state = state + STEP
+            draw = (mixed(state) >> np.uint64(32)).astype(np.int64)
+            arc = np.searchsorted(bounds, (node << 32) + draw, side="right")
+            steps.append((live, symbol[arc]))
+            node = source[arc]
+            counts[live] += 1
+            on = node >= len(words)
+            node, live, state = node[on], live[on], state[on]
+        ends = np.cumsum(counts)
+        symbols = np.empty(ends[-1], dtype=np.int64)
+        for t, (at, found) in enumerate(steps):
+            symbols[ends[at] - 1 - t] = found
+        owner = np.repeat(np.arange(len(which)), counts)
+        # A symbol is one piece, or the bytes of a character that has none.
+        spelt = [self.byte[list(chr(c).encode())] for c in strange.tolist()]
+        pool = np.concatenate([np.arange(self.size, dtype=np.int32), *spelt])
+        widths = np.concatenate([np.ones(self.size, dtype=np.int64), np.array([len(s) for s in spelt], dtype=np.int64)])
+        starts = np.cumsum(widths) - widths
+        width = widths[symbols]
+        return pool[ranges(starts[symbols], width)], np.bincount(owner, width, minlength=len(which)).astype(np.int64)
+
+    def sampled(self, texts, keys, seed=0):
+        """(ids, count of ids per text) of one sampled path for each text; null and empty texts have none."""
+        counts, out = np.zeros(len(texts), dtype=np.int64), [np.zeros(0, dtype=np.int32)]
+        rows, sizes, seeds, begins, waiting = [], [], [], [], []
+
+        def flush():
+            number = defaultdict()
+            number.default_factory = number.__len__
+            which = np.fromiter(map(number.__getitem__, waiting), dtype=np.int64, count=len(waiting))
+            each = np.array(sizes)
+            with np.errstate(over="ignore"):
+                place = ranges(np.array(begins), each).astype(np.uint64)
+                start = mixed(np.repeat(np.array(seeds, dtype=np.uint64), each) + mixed(place + np.uint64(1)))
+            ids, per_word = self.drawn(list(number), which, start)
+            out.append(ids)
+            np.add.at(counts, np.repeat(np.array(rows), each), per_word)
+            for kept in (rows, sizes, seeds, begins, waiting):
+                kept.clear()
+
+        for row, (text, key) in enumerate(zip(texts, keys)):
+            if not text:
+                continue
+            digest = int.from_bytes(hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=8).digest(), "little")
+            words = CHUNK.findall(" " + text)
+            for begin in range(0, len(words), TOGETHER):
+                part = words[begin:begin + TOGETHER]
+                rows.append(row)
+                sizes.append(len(part))
+                seeds.append(digest)
+                begins.append(begin)
+                waiting.extend(part)
+                if len(waiting) >= TOGETHER:
+                    flush()
+        if waiting:
+            flush()
+        return np.concatenate(out), counts
+
+    def bytes_of(self, ids, counts):
+        """(bytes, count of bytes per row) of rows of ids, without the space put before each text."""
+        total = np.cumsum(counts)
         out = []
-        for word in CHUNK.findall(" " + text):
-            arcs = self.lattice(word) if len(word) <= CACHED_LENGTH else self.built(word)
-            end, back = len(word), []
-            while end:
-                sums, starts, found = arcs[end]
-                at = bisect.bisect_right(sums, next(draws) * sums[-1]) if len(sums) > 1 else 0
-                back.append(found[min(at, len(sums) - 1)])
-                end = starts[min(at, len(sums) - 1)]
-            for piece in reversed(back):
-                out.extend(piece)
-        return out
-
-    def text(self, ids):
-        return b"".join(self.raw[i] for i in ids).decode("utf-8")[1:]
+        heads = np.zeros(len(ids), dtype=bool)
+        heads[(total - counts)[counts > 0]] = True
+        start, size = self.raw_start[ids], self.raw_size[ids]
+        cut = heads & (size > 0)
+        cut[cut] = self.raw[start[cut]] == 0x20
+        start, size = start + cut, size - cut
+        for low in range(0, len(ids), DECODED):
+            out.append(self.raw[ranges(start[low:low + DECODED], size[low:low + DECODED])])
+        ends = np.r_[0, np.cumsum(size)]
+        sizes = ends[total] - ends[total - counts]
+        return np.concatenate(out) if out else np.zeros(0, dtype=np.uint8), sizes
 
 
 @lru_cache(maxsize=2)
@@ -100,23 +245,29 @@ def vocabulary(model, alpha):
     return Vocabulary(model, alpha)
 
 
+def offsets(counts):
+    return pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
+
+
 def encoded(text, key, model=MODEL, alpha=ALPHA, seed=0):
     """Column of piece ids for a text column and a key column."""
 
-    @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series, keys: pd.Series) -> pd.Series:
-        v = vocabulary(model, alpha)
-        return pd.Series([np.array(v.sampled(t, k, seed), dtype=np.int32) if isinstance(t, str) else None for t, k in zip(texts, keys)], dtype=object)
+    @F.arrow_udf("array<int>")
+    def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        ids, counts = vocabulary(model, alpha).sampled(texts.to_pylist(), keys.to_pylist(), seed)
+        return pa.ListArray.from_arrays(offsets(counts), pa.array(ids, pa.int32()), mask=texts.is_null())
 
-    return F.when(text == "", F.array().cast("array<int>")).otherwise(encode(text, F.coalesce(key.cast("string"), F.lit(""))))
+    return encode(text, F.coalesce(key.cast("string"), F.lit("")))
 
 
 def decoded(ids, model=MODEL):
     """Column of texts for a column of piece ids."""
 
-    @F.pandas_udf("string")
-    def decode(rows: pd.Series) -> pd.Series:
-        v = vocabulary(model, ALPHA)
-        return pd.Series([None if r is None else v.text(r) if len(r) else "" for r in rows], dtype=object)
+    @F.arrow_udf("string")
+    def decode(rows: pa.Array) -> pa.Array:
+        counts = np.asarray(rows.value_lengths().fill_null(0), dtype=np.int64)
+        raw, sizes = vocabulary(model, ALPHA).bytes_of(np.asarray(rows.flatten()), counts)
+        texts = pa.StringArray.from_buffers(len(rows), offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes()))
+        return pa.compute.if_else(rows.is_null(), pa.scalar(None, pa.string()), texts)
 
     return decode(ids)

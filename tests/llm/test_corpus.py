@@ -1,7 +1,9 @@
 """The other corpus operators and the pipeline: brute force, round trips, held-out accuracy and edge rows."""
 
 import collections
+import hashlib
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -169,7 +171,8 @@ def test_pieces_round_trip(spark, texts):
 
 def test_pieces_are_sampled_by_their_weights():
     v = pieces.Vocabulary(pieces.MODEL)
-    seen = collections.Counter(tuple(v.sampled("the", k)) for k in range(4000))
+    ids, counts = v.sampled(["the"] * 4000, range(4000))
+    seen = collections.Counter(map(tuple, (part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1]))))
     word, weights = " the", {}
     for cuts in itertools.product([0, 1], repeat=3):
         edges = [0, *[i + 1 for i, c in enumerate(cuts) if c], 4]
@@ -181,6 +184,75 @@ def test_pieces_are_sampled_by_their_weights():
     assert all(abs(seen[p] / 4000 - w / total) < 0.03 for p, w in weights.items())
 
 
+def plainly_sampled(v, text, key, seed=0):
+    """One text cut by plain Python: words one by one, arcs by substrings, the draws of the operator."""
+    full, out = (1 << 64) - 1, []
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & full
+        return x ^ (x >> 31)
+
+    digest = int.from_bytes(hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=8).digest(), "little")
+    for number, word in enumerate(pieces.CHUNK.findall(" " + text)):
+        forward, arcs = [0.0], [None]
+        for end in range(1, len(word) + 1):
+            found = []
+            for start in range(end - 1, -1, -1):
+                part = word[start:end]
+                if part in v.ids:
+                    found.append((start, [v.ids[part]], forward[start] + v.weight[part]))
+                elif start == end - 1:
+                    raw = part.encode()
+                    found.append((start, [int(v.byte[b]) for b in raw], forward[start] + v.fallback * len(raw)))
+            top = max(w for _, _, w in found)
+            sums = list(itertools.accumulate(math.exp(w - top) for _, _, w in found))
+            forward.append(top + math.log(sums[-1]))
+            arcs.append((found, sums))
+        state, end, back = mix(digest + mix(number + 1) & full), len(word), []
+        while end:
+            state = state + 0x9E3779B97F4A7C15 & full
+            found, sums = arcs[end]
+            bounds = [math.floor(s / sums[-1] * 2**32) for s in sums[:-1]]
+            end, symbols, _ = found[sum(b <= mix(state) >> 32 for b in bounds)]
+            back.append(symbols)
+        out += [i for symbols in reversed(back) for i in symbols]
+    return out
+
+
+def test_sampled_pieces_query_equals_plain_python(spark, sf_dir, texts):
+    v = pieces.Vocabulary(pieces.MODEL)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: r.ids for r in docs.select("doc_id", pieces.encoded(F.col("text"), F.col("doc_id")).alias("ids")).collect()}
+    assert set(got) == set(texts)
+    assert all(got[i] == (None if t is None else plainly_sampled(v, t, i) if t else []) for i, t in texts.items())
+    rows = QUERIES["op5_sampled_pieces"](spark, sf_dir).collect()
+    assert len(rows) == len(texts) and all(r.lossless for r in rows)
+    assert all(r.n_pieces == len(got[r.doc_id]) for r in rows if got[r.doc_id] is not None)
+
+
+def test_pieces_do_not_depend_on_the_batch(monkeypatch):
+    v = pieces.Vocabulary(pieces.MODEL)
+    texts = [f"{prose(i, 200)} ▁é 中文\n" for i in range(20)] + ["", None, "z" * 3000]
+    whole, counts = v.sampled(texts, range(len(texts)))
+    monkeypatch.setattr(pieces, "TOGETHER", 37)
+    monkeypatch.setattr(pieces, "DECODED", 100)
+    parts, same = v.sampled(texts, range(len(texts)))
+    assert (whole == parts).all() and (counts == same).all()
+    raw, sizes = v.bytes_of(parts, counts)
+    assert raw.tobytes().decode() == "".join(t or "" for t in texts) and sizes.sum() == len(raw)
+
+
+def test_pieces_edges(spark):
+    """Empty table, repeated rows, null keys and extra columns with the operator's names."""
+    df = made(spark, [(1, "one two", "s"), (1, "one two", "s"), (None, "x", "s"), (2, None, "s"), (3, "", "s")])
+    cut = df.withColumn("p", pieces.encoded(F.col("text"), F.col("doc_id"))).withColumn("back", pieces.decoded(F.col("p")))
+    rows = cut.collect()
+    assert len(rows) == 5 and all(r.back == r.text for r in rows) and cut.limit(0).count() == 0
+    assert rows[0].p == rows[1].p and [r.p for r in rows if r.text == ""] == [[]] and [r.p for r in rows if r.text is None] == [None]
+    assert spark.sql("select cast(null as array<int>) p").select(pieces.decoded(F.col("p")).alias("t")).collect()[0].t is None
+
+
 def test_classifier_on_held_out_rows(spark, sf_dir):
     sf = sf_dir.replace("0.001", "0.01")
     rows = QUERIES["op4_quality_classifier"](spark, sf)
