@@ -25,7 +25,7 @@ ALPHA = 0.0005
 #: No piece reaches over these cuts, so the lattice falls apart there without loss.
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 #: Words worked on together, and ids decoded together; they bound the memory, not the result.
-TOGETHER, DECODED = 60_000, 500_000
+TOGETHER, DECODED = 40_000, 200_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -188,7 +188,7 @@ class Vocabulary:
 
     def sampled(self, texts, keys, seed=0):
         """(ids, count of ids per text) of one sampled path for each text; null and empty texts have none."""
-        counts, out = np.zeros(len(texts), dtype=np.int64), [np.zeros(0, dtype=np.int32)]
+        counts, out = [], [np.zeros(0, dtype=np.int32)]
         rows, sizes, seeds, begins, waiting = [], [], [], [], []
 
         def flush():
@@ -201,11 +201,15 @@ class Vocabulary:
                 start = mixed(np.repeat(np.array(seeds, dtype=np.uint64), each) + mixed(place + np.uint64(1)))
             ids, per_word = self.drawn(list(number), which, start)
             out.append(ids)
-            np.add.at(counts, np.repeat(np.array(rows), each), per_word)
+            # A text may reach over several rounds, so the sums of its parts are added.
+            sums = np.add.reduceat(per_word, np.cumsum(each) - each)
+            for row, n in zip(rows, sums.tolist()):
+                counts[row] += n
             for kept in (rows, sizes, seeds, begins, waiting):
                 kept.clear()
 
         for row, (text, key) in enumerate(zip(texts, keys)):
+            counts.append(0)
             if not text:
                 continue
             digest = int.from_bytes(hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=8).digest(), "little")
@@ -221,23 +225,23 @@ class Vocabulary:
                     flush()
         if waiting:
             flush()
-        return np.concatenate(out), counts
+        return np.concatenate(out), np.array(counts, dtype=np.int64)
 
     def bytes_of(self, ids, counts):
         """(bytes, count of bytes per row) of rows of ids, without the space put before each text."""
-        total = np.cumsum(counts)
-        out = []
-        heads = np.zeros(len(ids), dtype=bool)
-        heads[(total - counts)[counts > 0]] = True
-        start, size = self.raw_start[ids], self.raw_size[ids]
-        cut = heads & (size > 0)
-        cut[cut] = self.raw[start[cut]] == 0x20
-        start, size = start + cut, size - cut
+        ends = np.cumsum(counts)
+        heads, sizes, out = (ends - counts)[counts > 0], np.zeros(len(counts), dtype=np.int64), [np.zeros(0, dtype=np.uint8)]
         for low in range(0, len(ids), DECODED):
-            out.append(self.raw[ranges(start[low:low + DECODED], size[low:low + DECODED])])
-        ends = np.r_[0, np.cumsum(size)]
-        sizes = ends[total] - ends[total - counts]
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.uint8), sizes
+            part = ids[low:low + DECODED]
+            start, size = self.raw_start[part], self.raw_size[part]
+            head = heads[np.searchsorted(heads, low):np.searchsorted(heads, low + len(part))] - low
+            spaced = head[(size[head] > 0) & (self.raw[start[head]] == 0x20)]
+            start[spaced] += 1
+            size[spaced] -= 1
+            out.append(self.raw[ranges(start, size)])
+            upto = np.r_[0, np.cumsum(size)]
+            sizes += upto[np.clip(ends - low, 0, len(part))] - upto[np.clip(ends - counts - low, 0, len(part))]
+        return np.concatenate(out), sizes
 
 
 @lru_cache(maxsize=2)
@@ -245,6 +249,12 @@ def vocabulary(model, alpha):
     return Vocabulary(model, alpha)
 
 
+def unpacked(column, together=500):
+    """The values of an Arrow array, made Python values a few hundred at a time."""
+    for low in range(0, len(column), together):
+        yield from column.slice(low, together).to_pylist()
+
+
 def offsets(counts):
     return pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
 
@@ -254,7 +264,7 @@ def encoded(text, key, model=MODEL, alpha=ALPHA, seed=0):
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        ids, counts = vocabulary(model, alpha).sampled(texts.to_pylist(), keys.to_pylist(), seed)
+        ids, counts = vocabulary(model, alpha).sampled(unpacked(texts), unpacked(keys), seed)
         return pa.ListArray.from_arrays(offsets(counts), pa.array(ids, pa.int32()), mask=texts.is_null())
 
     return encode(text, F.coalesce(key.cast("string"), F.lit("")))
