@@ -3,9 +3,9 @@
 A shingle of weight w owns the strip [0, w) of a plane whose height is rank. Darts fall on the strip by a
 process seeded by the shingle alone; each dart belongs to one coordinate, and a document's coordinate is its
 earliest dart. Only darts below a rank that fills all coordinates are thrown, so the work is a shingle's
-first dart plus a few hundred. Texts with equal shingle counts are one class from the start and are joined as
-one. In each bucket members are compared with a few of them, then with more of those that are still of other
-groups, until a bucket holds no two members of different groups that were not compared; members of one group
+first dart plus a thousand or so. Texts with equal shingle counts are one class from the start and are joined as
+one. In each bucket members are compared with one of them, first in a few bands, then in all, then with more of
+those that are still of other groups, until a bucket holds no two members of different groups that were not compared; members of one group
 are not compared again, so a group of copies does not emit all its pairs. Texts without words are one class
 where they are equal character by character; null is a text of its own, apart from the empty one.
 A text of fewer than five words is one shingle. Null ids are kept and never lead a group.
@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from logweir.llm.common import WORD, broadcast_within, stored, text_of, words
 
-BANDS, ROWS = 24, 5
+#: A pair of similarity 0.8 shares a band with a chance of 0.9986, one of 0.5 with 0.2, one of 0.3 with 0.006.
+BANDS, ROWS = 28, 7
 LEADERS = 4
+#: Bands of the first round, which brings most copies of a group under one label before the others are asked.
+FIRST_BANDS = 4
 #: Keys of 32 characters up to which the classes to be compared are broadcast, so other strips are not shuffled.
 BROADCAST_KEYS = 300_000
 
@@ -98,7 +101,7 @@ def strips(hashes, k):
 
 
 def signed(rows, k, n=BANDS * ROWS, together=200_000):
-    """doc_id, text_hash, key, grams, signature for rows of (doc_id, text_hash, blank, hashes).
+    """doc_id, text_hash, key, n, signature for rows of (doc_id, text_hash, blank, hashes); n counts the strips.
 
     `blank` is the key of a text without words.
     Texts are thrown for together, up to about `together` strips and coordinates at a time.
@@ -122,18 +125,33 @@ def signed(rows, k, n=BANDS * ROWS, together=200_000):
 
     def throw(batches):
         for batch in batches:
-            hashes = batch.column("hashes")
-            ends, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
-            made = [strips(values[low:high], k) for low, high in zip(ends[:-1], ends[1:])]
+            made = cut(batch.column("hashes"), k)
             keys = [hashlib.blake2b(g.tobytes(), digest_size=16).hexdigest() if len(g) else blank
                     for g, blank in zip(made, batch.column("blank").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.string()),
-                 pa.array([g.view(np.int64) for g in made], pa.list_(pa.int64())), pa.array(thrown(made), pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "key", "grams", "signature"])
+                 pa.array([len(g) for g in made], pa.int64()), pa.array(thrown(made), pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "key", "n", "signature"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(throw, f"doc_id {kind}, text_hash long, key string, grams array<long>, signature array<long>")
+    return rows.mapInArrow(throw, f"doc_id {kind}, text_hash long, key string, n long, signature array<long>")
+
+
+def cut(hashes, k):
+    """The strips of each row of an Arrow list of word hashes."""
+    ends, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
+    return [strips(values[low:high], k) for low, high in zip(ends[:-1], ends[1:])]
+
+
+def stripped(rows, k):
+    """key, grams for rows of (key, hashes)."""
+
+    def strip(batches):
+        for batch in batches:
+            made = [g.view(np.int64) for g in cut(batch.column("hashes"), k)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.list_(pa.int64()))], ["key", "grams"])
+
+    return rows.mapInArrow(strip, "key string, grams array<long>")
 
 
 def weighted_jaccard(a, b):
@@ -142,52 +160,61 @@ def weighted_jaccard(a, b):
     return common / (F.size(a) + F.size(b) - common)
 
 
-def alike(pairs, texts, threshold):
-    """The pairs (a, b) of keys whose texts are similar, by exact comparison."""
-    # Only texts that met another are compared, and their strips are fetched once per class.
-    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "near-asked")
-    asked = broadcast_within(asked, asked.count(), BROADCAST_KEYS)
-    met = stored(texts.select("key", "grams").join(asked, "key", "left_semi").dropDuplicates(["key"]), "near-met")
+def alike(pairs, met, threshold):
+    """The pairs (a, b) of keys whose texts are similar, by exact comparison; `met` has key and grams."""
     left = met.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
     right = met.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
-    # Sizes too far apart rule a pair out before the arrays are compared.
-    close = F.least(F.size("ga"), F.size("gb")) >= threshold * F.greatest(F.size("ga"), F.size("gb"))
     similar = weighted_jaccard(F.col("ga"), F.col("gb")) >= threshold
-    return stored(pairs.join(left, "a").join(right, "b").where(close & similar).select("a", "b"), "near-links")
+    return stored(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "near-links")
+
+
+def buckets(bands, rows):
+    """Column of the bucket of each band of the signature."""
+    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
 
 
 def grouped(texts, threshold, bands=BANDS, rows=ROWS, leaders=LEADERS):
+    """(links, labels) as `settled` gives them, for texts with key, grams and signature."""
+    reps = texts.select("key", F.size("grams").alias("n"), buckets(bands, rows).alias("buckets")).dropDuplicates(["key"])
+    return settled(reps, lambda asked: texts.select("key", "grams").join(asked, "key", "left_semi").dropDuplicates(["key"]), threshold, leaders)
+
+
+def settled(reps, strips_of, threshold, leaders=LEADERS):
     """(links, labels): similar pairs (a, b) of different classes, and the label of each class that has one.
 
-    `texts` has key, grams and signature. Every member of a bucket has a turn, a number spread evenly over the
-    bucket's size by the key's hash. A round compares the members whose turn has come, the first one at
-    first, with those of other labels in the bucket; a bucket whose other members share one label is settled.
-    Each round reaches three times as far as the one before, so the last member is reached in few rounds, and no pair of a bucket
-    with different labels is left out.
+    `reps` has key, n and buckets; `strips_of` gives key and grams of a table of keys. Every member of a bucket
+    has a turn, a number spread evenly over the bucket's size by the key's hash. A round compares the members
+    whose turn has come, the first one at first, with those of other labels in the bucket; a bucket whose other
+    members share one label is settled. Each round reaches three times as far as the one before, so the last
+    member is reached in few rounds, and no pair of a bucket with different labels is left out.
     """
-    reps = texts.select("key", "signature").dropDuplicates(["key"])
-    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
-    entries = reps.select("key", F.explode(cut).alias("bucket"))
+    entries = reps.select("key", F.col("n").alias("size"), F.posexplode("buckets").alias("band", "bucket"))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low")).where("n > 1")
     # The same keys come first in all buckets, so the bands ask for the same pairs.
     turn = (place - F.col("low")) * F.col("n") / F.lit(1 << 30)
-    waiting = stored(entries.join(shared, "bucket").select("bucket", "key", turn.alias("turn")), "near-entries")
-    waiting, links, upto = waiting.withColumn("label", F.col("key")), None, 0
+    waiting = stored(entries.join(shared, "bucket").select("band", "bucket", "key", "size", turn.alias("turn")), "near-entries")
+    met = stored(strips_of(stored(waiting.select("key").distinct(), "near-asked")), "near-met")
+    waiting, links, upto, first = waiting.withColumn("label", F.col("key")), None, 0, True
     while True:
-        heads = waiting.where(F.col("turn") <= upto).select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"))
-        met = waiting.join(heads, "bucket").where(F.col("label") != F.col("head_label")).select(
+        asking = waiting.where(F.col("band") < FIRST_BANDS) if first else waiting
+        heads = asking.where(F.col("turn") <= upto).select(
+            "bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("size").alias("head_size"))
+        # Sizes too far apart rule a pair out before its strips are fetched.
+        close = F.least("size", "head_size") >= threshold * F.greatest("size", "head_size")
+        pairs = asking.join(heads, "bucket").where((F.col("label") != F.col("head_label")) & close).select(
             F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
-        found = alike(stored(met, "near-pairs"), texts, threshold)
+        found = alike(stored(pairs, "near-pairs"), met, threshold)
         links = found if links is None else stored(links.unionByName(found).distinct(), "near-links")
         labels = components(links)
-        waiting = waiting.where(F.col("turn") > upto).drop("label").join(labels, "key", "left").select(
-            "bucket", "key", "turn", F.coalesce("label", "key").alias("label"))
+        done = F.col("turn") <= upto
+        waiting = waiting.where(~done | (F.col("band") >= FIRST_BANDS) if first else ~done).drop("label").join(labels, "key", "left").select(
+            "band", "bucket", "key", "size", "turn", F.coalesce("label", "key").alias("label"))
         mixed_up = waiting.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         waiting = stored(waiting.join(mixed_up.select("bucket"), "bucket", "left_semi"), "near-entries")
         if waiting.isEmpty():
             return links, labels
-        upto = 3 * upto + leaders
+        upto, first = upto if first else 3 * upto + leaders, False
 
 
 def components(links):
@@ -216,11 +243,25 @@ def classes(docs, threshold=0.8, k=5, doc_id="doc_id", text="text"):
     blank = F.when(~t.rlike(WORD), F.concat(F.lit("blank-"), F.coalesce(F.md5(F.col(text)), F.lit("null")))).alias("blank")
     # The hash of a null text is not that of the empty one.
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), blank, hashes)
-    rows = stored(signed(rows, k), "near-texts")
-    links, labels = grouped(rows.where(F.size("grams") > 0), threshold)
+    signatures = signed(rows, k).withColumn("buckets", buckets(BANDS, ROWS)).drop("signature")
+    # Strips are not kept: those of the texts that meet another are made once more.
+    kept = stored(signatures, "near-texts")
+
+    def strips_of(asked):
+        one = kept.join(asked, "key", "left_semi").groupBy("key").agg(F.min(F.struct(
+            F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"))
+        one = stored(one.select("key", F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")), "near-places")
+        one = broadcast_within(one, one.count(), BROADCAST_KEYS)
+        texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), t.alias("text"))
+        texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+        # Rows that repeat both id and text are one; the texts are moved for that, which are smaller than their strips.
+        texts = texts.select("key", "text").dropDuplicates(["key"])
+        return stripped(texts.select("key", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes")), k)
+
+    links, labels = settled(kept.where("n > 0").select("key", "n", "buckets").dropDuplicates(["key"]), strips_of, threshold)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     named = labels.join(degree, "key", "left")
-    members = rows.select("doc_id", "text_hash", "key").join(named, "key", "left")
+    members = kept.select("doc_id", "text_hash", "key").join(named, "key", "left")
     members = stored(members.withColumn("label", F.coalesce("label", "key")), "near-members")
     first = members.groupBy("label").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
