@@ -1,8 +1,10 @@
 """Chat formatting: typed content parts flattened into marked turns, with a loss mask read back from the text.
 
 A turn is `<|im|>role<|text|>body<|end|>`. Inside roles and texts a backslash is written `\\b` and the
-opening of a mark `<|` is written `\\l|`, so no text can hold a mark and reading back restores it.
-Null roles and texts are empty. Turns with equal numbers are ordered by role and text; repeated rows stay.
+opening of a mark `<|` is written `\\l|`; a `<` that ends a part is written `\\l` too, so neither a text nor two
+neighbouring parts can hold a mark, and reading back restores them. In the type of an attachment `|>` is written
+`|\\g`. Null roles, texts and parts are empty; null and NaN units count no tokens. The loss mask leaves out
+placeholders. Turns with equal numbers are ordered by role and text; repeated rows stay.
 """
 
 from pyspark.sql import functions as F
@@ -14,11 +16,13 @@ TOKENS_PER_UNIT = {"image": 1, "audio": 25, "document": 600}
 
 
 def escaped(text):
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("<|"), F.lit("\\l|"))
+    plain = F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("<|"), F.lit("\\l|"))
+    return F.regexp_replace(plain, r"<\z", r"\\l")
 
 
 def unescaped(text):
-    return F.replace(F.replace(text, F.lit("\\l"), F.lit("<")), F.lit("\\b"), F.lit("\\"))
+    opened = F.replace(F.replace(text, F.lit("\\l"), F.lit("<")), F.lit("\\g"), F.lit(">"))
+    return F.replace(opened, F.lit("\\b"), F.lit("\\"))
 
 
 def text_part(text):
@@ -31,7 +35,7 @@ def text_part(text):
 def tokens_of(part):
     count = F.lit(0)
     for kind, per in TOKENS_PER_UNIT.items():
-        count = F.when(part["type"] == kind, F.ceil(F.coalesce(part["units"], F.lit(0.0)) * per).cast("int")).otherwise(count)
+        count = F.when(part["type"] == kind, F.ceil(F.coalesce(F.nanvl(part["units"], F.lit(0.0)), F.lit(0.0)) * per).cast("int")).otherwise(count)
     return count
 
 
@@ -44,7 +48,7 @@ def flattened(parts):
 
     def visit(acc, part):
         n = F.size(acc["attachments"])
-        mark = F.concat(F.lit("<|"), escaped(part["type"]), F.lit(":"), n.cast("string"), F.lit("|>"))
+        mark = F.concat(F.lit("<|"), F.replace(escaped(part["type"]), F.lit("|>"), F.lit("|\\g")), F.lit(":"), n.cast("string"), F.lit("|>"))
         plain = F.coalesce(part["type"], F.lit("text")) == "text"
         taken = F.struct(n.alias("n"), part["type"].alias("type"), part["ref"].alias("ref"), tokens_of(part).alias("tokens"))
         return F.struct(
@@ -84,21 +88,27 @@ def formatted(rows, parts=None):
 
 
 def read_back(text):
-    """Array of (role, text) read from a formatted conversation, unescaped."""
+    """Array of (role, text, said) read from a formatted conversation, unescaped; `said` is the text without placeholders."""
     pieces = F.filter(F.split(text, r"<\|end\|>", -1), lambda p: p != "")
     bare = F.transform(pieces, lambda p: F.substring(p, F.lit(len(OPEN) + 1), F.length(p)))
-    return F.transform(bare, lambda p: F.struct(
-        unescaped(F.substring_index(p, BODY, 1)).alias("role"),
-        unescaped(F.substring(p, F.instr(p, BODY) + len(BODY), F.length(p))).alias("text")))
+
+    def turn(p):
+        body = F.substring(p, F.instr(p, BODY) + len(BODY), F.length(p))
+        # Texts are escaped, so whatever is still marked is a placeholder.
+        said = unescaped(F.regexp_replace(body, r"(?s)<\|.*?\|>", ""))
+        return F.struct(unescaped(F.substring_index(p, BODY, 1)).alias("role"), unescaped(body).alias("text"), said.alias("said"))
+
+    return F.transform(bare, turn)
 
 
 def digest(rows, parts=None):
     """Figures and digests of each conversation, read back from its formatted text."""
-    back = formatted(rows, parts).select("conv_id", "formatted", read_back(F.col("formatted")).alias("t"))
+    figures = [F.size("attachments").cast("bigint").alias("n_attachments"), "attachment_tokens"]
+    back = formatted(rows, parts).select("conv_id", "formatted", read_back(F.col("formatted")).alias("t"), *figures)
     whole = F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("t", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.array_join(F.transform(F.filter("t", lambda t: t["role"] == "assistant"), lambda t: t["said"]), "")
     return back.select(
         "conv_id", F.size("t").cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("formatted").cast("bigint").alias("formatted_chars"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"), "n_attachments", "attachment_tokens",
     )

@@ -4,9 +4,14 @@ A null URL or one without `://` has an empty host and path and no rule. URLs wit
 are judged alike. The tree is built from counts per host and shape, so a hot host is combined before
 the shuffle. Branches of a place have one form if the same children hold about the same shares of their
 pages, which needs no label; a form's labelled pages thereby speak for the branches without labels, in its
-host first and then over all hosts. Within a form, branches with labels are templates apart by tenths.
+host first and then over all hosts. Within a form, branches with labels are templates apart by tenths. Labels also
+speak for the same path, its wildcards included, on other hosts. A place with one shape left is followed to its end
+at once, so a very long path takes no pass per segment of its own.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.common import stored
@@ -56,6 +61,23 @@ def shaped(path):
     return F.transform(segments, lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
 
 
+def followed(leaves, level):
+    """The leaves with their last segments, from `level` on, put to form, template and name in one projection.
+
+    Each is the only shape of its place, so each segment is a branch with one child that holds all its pages.
+    """
+    rest = F.when(F.size("shape") > level, F.sequence(F.lit(level), F.size("shape") - 1)).otherwise(F.array().cast("array<int>"))
+    child = lambda i: F.struct(F.coalesce(F.get("shape", i + 1), F.lit("")).alias("child"), F.lit(SHARES).alias("part"))
+    step = lambda i: F.when(F.get("shape", i) == "*", "*").otherwise(
+        F.concat(F.lit("~"), F.lower(F.hex(F.xxhash64(F.array(child(i)))))))
+    rate = (F.col("bad") + PRIOR * F.col("bad") / F.greatest("seen", F.lit(1))) / (F.col("seen") + PRIOR)
+    tenth = F.when(F.col("seen") > 0, F.concat(F.lit(":"), F.round(rate * 10).cast("int"))).otherwise("")
+    tail = lambda part: F.array_join(F.transform(rest, lambda i: F.concat(F.lit("/"), part(i))), "")
+    return leaves.withColumns({
+        "form": F.concat("form", tail(step)), "template": F.concat("template", tail(lambda i: F.concat(step(i), tenth))),
+        "named": F.concat("named", tail(lambda i: F.get("shape", i)))})
+
+
 def templates(pages):
     """Verdict per host and shape from the template tree, down to the last segment of the deepest path.
 
@@ -64,10 +86,18 @@ def templates(pages):
     leaves = pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("seen"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
     # Each level reads the one before several times, so each is written down once.
-    leaves = stored(leaves.withColumns({"form": F.lit(""), "template": F.lit("")}), "url-shapes")
-    levels = leaves.agg(F.max(F.size("shape")).alias("deepest")).first()["deepest"] or 0
+    leaves = stored(leaves.withColumns({"form": F.lit(""), "template": F.lit(""), "named": F.lit("")}), "url-shapes")
     place, pages_of = ["host", "form"], lambda: [F.sum(c).alias(c) for c in ("n", "seen", "bad")]
-    for level in range(levels):
+    level, ended = 0, []
+    while True:
+        # Leaves that are alone at their place, or at their end, need no further level.
+        lone = leaves.groupBy(*place).agg((F.count(F.lit(1)) == 1).alias("lone"))
+        leaves = stored(leaves.join(lone, place), f"url-places{level}")
+        done = F.col("lone") | (F.size("shape") <= level)
+        ended.append(followed(leaves.where(done), level).drop("lone"))
+        leaves = leaves.where(~done).drop("lone")
+        if leaves.isEmpty():
+            break
         # One row per branch below each parent; the rare ones of many become a wildcard.
         leaves = leaves.withColumn("segment", F.coalesce(F.get("shape", F.lit(level)), F.lit("")))
         kids = leaves.groupBy(*place, "segment", F.coalesce(F.get("shape", F.lit(level + 1)), F.lit("")).alias("child")).agg(*pages_of())
@@ -89,13 +119,18 @@ def templates(pages):
         step = F.when(wild | (F.col("segment") == "*"), "*").otherwise(F.concat(F.lit("~"), F.lower(F.hex(F.xxhash64("profile")))))
         rate = (F.col("bad") + PRIOR * F.col("share")) / (F.col("seen") + PRIOR)
         tenth = F.when(F.col("seen") > 0, F.concat(F.lit(":"), F.round(rate * 10).cast("int"))).otherwise("")
-        steps = near.where(F.col("segment") != "").select(*place, "segment", step.alias("step"), tenth.alias("tenth"))
+        name = F.when(step == "*", "*").otherwise(F.col("segment"))
+        steps = near.where(F.col("segment") != "").select(*place, "segment", step.alias("step"), tenth.alias("tenth"), name.alias("name"))
         grown = {
             "form": F.when(F.col("step").isNull(), F.col("form")).otherwise(F.concat("form", F.lit("/"), "step")),
-            "template": F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step", "tenth"))}
+            "template": F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step", "tenth")),
+            "named": F.when(F.col("step").isNull(), F.col("named")).otherwise(F.concat("named", F.lit("/"), "name"))}
         leaves = leaves.join(steps, [*place, "segment"], "left").withColumns(grown)
-        leaves = stored(leaves.drop("segment", "step", "tenth"), f"url-level{level}")
-    # A template's share is smoothed by its form's, that by the host's, and that by the form's share over all hosts.
+        leaves = stored(leaves.drop("segment", "step", "tenth", "name"), f"url-level{level}")
+        level += 1
+    leaves = stored(reduce(DataFrame.unionByName, ended), "url-leaves")
+    # A template's share is smoothed by that of its path over all hosts, this by its form's in the host, that by the
+    # host's, and that by the form's share over all hosts.
     whole = leaves.agg((F.sum("bad") / F.greatest(F.sum("seen"), F.lit(1))).alias("all_share")).first()["all_share"]
 
     def smoothed(bad, seen, prior):
@@ -106,9 +141,11 @@ def templates(pages):
     host = leaves.groupBy("host").agg(F.sum("seen").alias("h_seen"), F.sum("bad").alias("h_bad"))
     alike = leaves.groupBy(*place).agg(F.sum("seen").alias("p_seen"), F.sum("bad").alias("p_bad")).join(host, "host").join(forms, "form")
     alike = alike.select(*place, smoothed("p_bad", "p_seen", smoothed("h_bad", "h_seen", F.col("all_prior"))).alias("prior"))
-    pure = leaves.groupBy(*place, "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).join(alike, place)
-    judged = pure.select(*place, "template", smoothed("bad", "seen", F.col("prior")).alias("purity"))
-    return leaves.select("host", "shape", "form", "template").join(judged, [*place, "template"]).drop("form").withColumn(
+    names = leaves.groupBy("named").agg(F.sum("seen").alias("n_seen"), F.sum("bad").alias("n_bad"))
+    own = leaves.groupBy(*place, "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).join(alike, place)
+    pure = leaves.select(*place, "template", "named").distinct().join(own, [*place, "template"]).join(names, "named")
+    judged = pure.select(*place, "template", "named", smoothed("bad", "seen", smoothed("n_bad", "n_seen", F.col("prior"))).alias("purity"))
+    return leaves.select("host", "shape", "form", "template", "named").join(judged, [*place, "template", "named"]).drop("form", "named").withColumn(
         "rejected", F.col("purity") >= REJECT)
 
 

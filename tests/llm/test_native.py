@@ -1,6 +1,7 @@
 """Secrets, URL filter and chat formatting against plain Python, whole tables at the smallest scale."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -114,6 +115,49 @@ def test_chat_control_strings_and_parts(spark):
     assert chat.digest(rows.limit(0)).count() == 0
 
 
+def plainly_visited(parts):
+    """(body, text read back, text under the mask, attachments) of typed parts, in plain Python."""
+    body, text, said, found = "", "", "", []
+    units = {"image": 1, "audio": 25, "document": 600}
+    for part in parts:
+        kind, t, ref, n = part or (None, None, None, None)
+
+        def escaped(x):
+            x = x.replace("\\", "\\b").replace("<|", "\\l|")
+            return x[:-1] + "\\l" if x.endswith("<") else x
+
+        if kind in (None, "text"):
+            body, text, said = body + escaped(t or ""), text + (t or ""), said + (t or "")
+        else:
+            body += f"<|{escaped(kind)}:{len(found)}|>".replace("|>", "|\\g", escaped(kind).count("|>"))
+            text += f"<|{kind}:{len(found)}|>"
+            found.append((ref, math.ceil(n * units[kind]) if kind in units and n is not None and n == n else 0))
+    return body, text, said, found
+
+
+def test_chat_parts_equal_a_plain_visitor(spark):
+    """Control strings cut over neighbouring parts, types that hold marks, null parts, NaN and null units."""
+    rng = random.Random(5)
+    bits = ["<", "|", "|end|>", "<|", "end|>", "\\", "\\l", "a", "", "|>", ":0|>", "im|>user<|text|>", None]
+    kinds = ["text", None, "image", "audio", "document", "video", "x|>y", "<|end", "z<"]
+    turns = []
+    for _ in range(150):
+        parts = [(k := rng.choice(kinds), rng.choice(bits), f"r{i}" if k not in ("text", None) else None,
+                  rng.choice([None, float("nan"), 0.5, 3.0])) for i in range(rng.randrange(7))]
+        turns.append([None if rng.random() < 0.05 else p for p in parts])
+    rows = [(i, 0, "assistant", parts) for i, parts in enumerate(turns)]
+    typed = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    back = {r.conv_id: r for r in chat.formatted(typed, "parts").withColumn("t", chat.read_back(F.col("formatted"))).collect()}
+    digests = {r.conv_id: r for r in chat.digest(typed, "parts").collect()}
+    for i, parts in enumerate(turns):
+        body, text, said, found = plainly_visited(parts)
+        assert back[i].formatted == f"<|im|>assistant<|text|>{body}<|end|>"
+        assert [(t.role, t.text, t.said) for t in back[i].t] == [("assistant", text, said)]
+        assert [(a.ref, a.tokens) for a in back[i].attachments] == found
+        assert (digests[i].loss_sha256, digests[i].n_attachments) == (sha(said), len(found))
+        assert digests[i].attachment_tokens == sum(n for _, n in found)
+
+
 def plain_url(url):
     if url is None or "://" not in url:
         return "", ""
@@ -171,3 +215,20 @@ def test_templates_do_not_change_with_the_table_and_reach_the_last_segment(spark
         assert all(got["post", s].template.endswith("/*") for s in slugs) and not got["post", "top", "x"].template.split("/")[2] == "*"
         assert got["a", "b", "c", "d", "bad"].purity > got["a", "b", "c", "d", "good"].purity
     assert often["a", "b", "c", "d", "bad"].rejected and not often["a", "b", "c", "d", "good"].rejected
+
+
+def test_a_very_long_path_takes_no_pass_per_segment(spark):
+    """Alone on its host's branch, a path of 2000 segments is followed at once; an empty table has no verdicts."""
+    rows = [(i, f"http://a.com/x/{i}") for i in range(20)] + [(99, "http://a.com/" + "/".join(f"s{i % 7}" for i in range(2000)))]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in urls.judged(df).collect()}
+    assert len(got) == 21 and got[99].template.count("/") == 2000 and got[0].template.endswith("/*")
+    assert urls.judged(df.limit(0)).count() == 0
+
+
+def test_labels_speak_for_the_same_path_on_other_hosts(spark):
+    rules = [("block", "a.net", "/ads/"), ("allow", "a.net", "/news/")]
+    paths = [f"{top}/{i}" for top in ("ads", "news") for i in range(20)]
+    rows = list(enumerate([f"http://{h}.net/{p}" for h in "ab" for p in paths]))
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).where("rule is null").collect()
+    assert len(got) == 40 and all(r.verdict == ("block" if r.path.startswith("/ads") else "allow") for r in got)
