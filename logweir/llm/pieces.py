@@ -80,6 +80,10 @@ class Vocabulary:
         keys = np.array(list(branches), dtype=np.int64)
         order = np.argsort(keys)
         self.branch, self.child = keys[order], order + 1
+        # The branches of the first 128 characters are also a table, which spares a search.
+        plain = keys & (1 << 21) - 1 < 128
+        self.table = np.zeros((len(keys) + 1) * 128, dtype=np.int32)
+        self.table[(keys[plain] >> 21) * 128 + (keys[plain] & 127)] = np.flatnonzero(plain) + 1
         self.piece, self.score = np.full(len(keys) + 1, -1), np.zeros(len(keys) + 1)
         for at, (i, w) in found.items():
             self.piece[at], self.score[at] = i, w
@@ -93,10 +97,13 @@ class Vocabulary:
         at, tree, out, length = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), [], 0
         strange = np.zeros(0, dtype=np.uint32)
         while len(at):
-            asked = tree << 21 | codes[at + length].astype(np.int64)
+            code = codes[at + length].astype(np.int64)
+            far = np.flatnonzero(code > 127)
+            asked = tree[far] << 21 | code[far]
             place = np.minimum(np.searchsorted(self.branch, asked), len(self.branch) - 1)
-            known = self.branch[place] == asked
-            tree = np.where(known, self.child[place], 0)
+            tree = self.table[tree * 128 + (code & 127)].astype(np.int64)
+            tree[far] = np.where(self.branch[place] == asked, self.child[place], 0)
+            known = tree > 0
             length += 1
             piece = self.piece[tree]
             if length == 1:
@@ -114,11 +121,11 @@ class Vocabulary:
         return out, strange
 
     def lattice(self, words):
-        """The lattice of distinct words: where each word's last node is, the arcs into each node, their symbols.
+        """The lattice of distinct words: each word's last node, the bounds of the arcs, each node's last arc, the arcs' sources and symbols.
 
         Nodes are numbered by place in the word, then by word from the longest on, so the nodes of a place and the
         arcs that end there follow one another. An arc's share of its node is kept as node * 2**32 + the running
-        sum of shares * 2**32, so one search finds the arc of a draw.
+        sum of shares * 2**32, so an arc's lower bound is the upper one of the arc before it, also across nodes.
         """
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         order = np.argsort(-lengths, kind="stable")
@@ -149,25 +156,32 @@ class Vocabulary:
             share[low:high] = np.exp(logs - np.repeat(top, degree[begin:end]))
             forward[begin:end] = top + np.log(np.add.reduceat(share[low:high], heads))
         # Running sums within a node do not depend on the other words, so neither does the arc drawn.
+        open_nodes = np.flatnonzero(degree > 1)
         for j in range(1, degree.max()):
-            to = first[:-1][degree > j] + j
+            open_nodes = open_nodes[degree[open_nodes] > j]
+            to = first[open_nodes] + j
             share[to] += share[to - 1]
         node = np.repeat(np.arange(len(degree)), degree)
         last = first[1:] - 1
         bound = np.floor(share / share[last[node]] * 2.0**32).astype(np.int64)
         bound[last[degree > 0]] = 1 << 32
-        return layer[lengths] + rank, (node << 32) + bound, source, symbol, strange
+        return layer[lengths] + rank, np.r_[0, (node << 32) + bound], last, source, symbol, strange
 
     def drawn(self, words, which, seeds):
         """(ids, count of ids per occurrence) of one sampled path for each occurrence of a word."""
-        final, bounds, source, symbol, strange = self.lattice(words)
+        final, lower, last, source, symbol, strange = self.lattice(words)
         node, live, state = final[which], np.arange(len(which)), seeds
         counts, steps = np.zeros(len(which), dtype=np.int64), []
         while len(live):
             with np.errstate(over="ignore"):
                 state = state + STEP
-            draw = (mixed(state) >> np.uint64(32)).astype(np.int64)
-            arc = np.searchsorted(bounds, (node << 32) + draw, side="right")
+            draw = (node << 32) + (mixed(state) >> np.uint64(32)).astype(np.int64)
+            # The longest piece is the likeliest, so the arcs are tried from the last one down.
+            arc = last[node]
+            above = np.flatnonzero(lower[arc] > draw)
+            while len(above):
+                arc[above] -= 1
+                above = above[lower[arc[above]] > draw[above]]
             steps.append((live, symbol[arc]))
             node = source[arc]
             counts[live] += 1
