@@ -45,6 +45,14 @@ def test_maps_hold_every_entry_once(requests, parts):
     assert parts > 1 or maps.count() == 5
 
 
+def test_maps_are_as_many_as_their_entries_ask_for(requests):
+    counts = skew.prefix_counts(requests).withColumn("prefix", F.coalesce("prefix", F.lit("")))
+    maps = skew.prefix_maps(counts, max_entries=10)
+    assert values(skew.merge_maps(maps)) == values(counts)
+    entries = Counter(r.target_ip for r in counts.collect())
+    assert {(r.target_ip, r.parts) for r in maps.collect()} == {(t, -(-n // 10)) for t, n in entries.items()}
+
+
 def test_lists_hold_every_row_once(requests):
     lists = skew.prefix_lists(requests, "seq", parts=8).collect()
     assert {r.part for r in lists} == set(range(8))
