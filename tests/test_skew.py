@@ -60,6 +60,14 @@ def test_lists_hold_every_row_once(requests):
     assert got == Counter((r.target_ip, r.prefix or "") for r in requests.collect())
 
 
+def test_lists_are_as_many_as_their_rows_ask_for(requests):
+    lists = skew.prefix_lists(requests, "seq", max_items=100).collect()
+    got = Counter((r.target_ip, p) for r in lists for p in r.prefixes)
+    assert got == Counter((r.target_ip, r.prefix or "") for r in requests.collect())
+    rows = Counter(r.target_ip for r in requests.collect())
+    assert {(r.target_ip, r.parts) for r in lists} == {(t, -(-n // 100)) for t, n in rows.items()}
+
+
 def test_histogram_line(spark):
     maps = spark.createDataFrame([("t", {"a": 2})], "target_ip string, counts map<string,bigint>")
     assert skew.histogram_lines(maps).first().value == "(t,{a=2})"
