@@ -2,6 +2,7 @@
 
 import ipaddress
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,6 +160,40 @@ def test_hex_segments_are_disjoint_and_follow_nesting(spark):
             assert net == brute_blocks(blocks[:-1], str(ipaddress.IPv6Address(n)), True)
 
 
+def test_a_cell_holds_few_segments(spark):
+    """Many single addresses that differ in their last two groups: an address meets 15 candidates per size at most."""
+    rng = random.Random(12)
+    blocks = [(f"2001:db8::{rng.randrange(4)}:{rng.randrange(65536):x}/128", f"n{i}") for i in range(2000)]
+    found = cidr.longest_prefix_hex_segments(spark.createDataFrame(blocks, "cidr string, net string"), ["net"]).collect()
+    assert len(found) == len({c for c, _ in blocks})
+    table = spark.createDataFrame(found)
+    gaps = spark.createDataFrame([(a, b) for a, b in zip(*(sorted(r.seg_lo for r in found)[i:] for i in (0, 1)))], "seg_lo string, after string")
+    gaps = gaps.select(hex_after(F.col("seg_lo")).alias("seg_lo"), hex_before(F.col("after")).alias("seg_hi")).where("seg_lo <= seg_hi")
+    spans = table.select("seg_lo", "seg_hi").unionByName(gaps)
+    filed = segments.filed(spans, segments.v6_cell, segments.V6_CELLS)
+    cells = Counter((r.cell_size, r.seg_lo[: r.cell_size]) for r in filed.collect())
+    assert max(cells.values()) <= 15
+
+
+def test_nested_blocks_over_many_ranges(spark, monkeypatch):
+    """Each range of edges takes over the blocks that earlier ranges have begun, those that go on over many ranges too."""
+    rng = random.Random(13)
+    blocks = [("2001:db8::/32", "all"), ("10.0.0.0/8", "ten")]
+    for i in range(600):
+        at = (0x20010DB8 << 96) + (rng.randrange(1 << 16) << 80)
+        blocks.append((f"{ipaddress.IPv6Address(at)}/{rng.choice([33, 36, 40, 43, 48])}", f"six{i}"))
+        blocks.append((f"10.{rng.randrange(256)}.{rng.randrange(256)}.0/{rng.choice([9, 12, 16, 20, 24])}", f"four{i}"))
+    table = spark.createDataFrame(blocks, "cidr string, net string")
+    by_range = type(table).repartitionByRange
+    monkeypatch.setattr(type(table), "repartitionByRange", lambda df, *columns: by_range(df, 8, *columns))
+    for build, text in ((cidr.longest_prefix_hex_segments, lambda n: str(ipaddress.IPv6Address(int(n, 16)))),
+                        (cidr.longest_prefix_segments, lambda n: str(ipaddress.IPv4Address(n)))):
+        found = sorted(tuple(r) for r in build(table, ["net"]).collect())
+        assert len(found) > 300 and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+        for lo, hi, net in found[:: len(found) // 60] + found[-3:]:
+            assert brute_blocks(blocks, text(lo), True) == net == brute_blocks(blocks, text(hi), True)
+
+
 def test_wide_range_is_filed_once(spark):
     raw = spark.createDataFrame(
         [("0.0.0.0", "255.255.255.255", "c", "all", "t", "o"), ("10.0.0.0", "10.0.0.255", "c", "p", "t", "o"),
