@@ -10,6 +10,7 @@ written like others and recorded as late.
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -18,6 +19,8 @@ from logweir.streaming.ledger import Ledger, run_of
 from logweir.streaming.sinks import triggered
 
 HOUR = ["dt", "hr"]
+#: Small files that are put at the same time: each is a few calls that wait for the file system.
+PUT_AT_ONCE = 16
 COMMITTED = StructType(
     [StructField("dt", StringType()), StructField("hr", StringType()), StructField("rows", LongType()),
      StructField("run", StringType()), StructField("batch", LongType())]
@@ -37,6 +40,16 @@ def put_file(spark, path, text=""):
     stream.close()
 
 
+def put_marks(spark, paths):
+    """Empty files, several at a time."""
+    if not paths:
+        return
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = jvm.org.apache.hadoop.fs.Path(paths[0]).getFileSystem(conf)
+    with ThreadPoolExecutor(PUT_AT_ONCE) as pool:
+        list(pool.map(lambda p: files.create(jvm.org.apache.hadoop.fs.Path(p), True).close(), paths))
+
+
 def _recorded(spark, folder):
     if not exists(spark, folder):
         return spark.createDataFrame([], COMMITTED)
@@ -101,15 +114,15 @@ def commit_stream(
         found = placed.where(F.col(time).isNotNull()).groupBy(*HOUR).agg(
             F.count(F.lit(1)).alias("n"), F.unix_micros(F.max(time)).alias("micros")).collect()
         # Rebalanced, so that an hour gets few files, and a large hour more than one task.
-        placed.withColumn("part", F.lit(part)).hint("rebalance", *HOUR).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
+        # Tasks move their files into the staging folder themselves; folders are replaced from there once all are done.
+        settings = {"partitionOverwriteMode": "dynamic", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
+        placed.withColumn("part", F.lit(part)).hint("rebalance", *HOUR).write.mode("overwrite").options(
+            **settings
         ).partitionBy(*HOUR, "part").format(fmt).save(f"{path}/data")
 
         seen = {f"{r['dt']} {r['hr']}": (r["n"], r["micros"]) for r in found}
         news, due, late = advanced(state, seen, delay, wait)
-        for hour in due:
-            day, hr = hour.split(" ")
-            put_file(spark, f"{path}/data/dt={day}/hr={hr}/_SUCCESS")
+        put_marks(spark, [f"{path}/data/dt={day}/hr={hr}/_SUCCESS" for day, hr in (hour.split(" ") for hour in due)])
         for folder, hours in (("committed", due), ("late", late)):
             if hours:
                 lines = [dict(zip(HOUR, h.split(" ")), rows=n, run=run, batch=batch_id) for h, n in sorted(hours.items())]

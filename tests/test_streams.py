@@ -194,6 +194,16 @@ def test_partition_commit_delivers_a_repeated_batch_once(spark, feed, tmp_path,
     assert values(commit.committed_partitions(spark, out).select("hr", "rows")) == [("12", 1)]
 
 
+def test_success_files_of_many_hours_are_put_at_the_same_time(spark, tmp_path, monkeypatch):
+    """More hours than are put at once, among them one that has its file already; none is put by a call of its own."""
+    monkeypatch.setattr(commit, "PUT_AT_ONCE", 4)
+    hours = [str(tmp_path / f"hr={h:02d}" / "_SUCCESS") for h in range(24)]
+    commit.put_file(spark, hours[3], "old")
+    commit.put_marks(spark, hours)
+    commit.put_marks(spark, [])
+    assert all(os.path.getsize(h) == 0 for h in hours)
+
+
 def test_partition_commit_over_a_new_checkpoint(spark, tmp_path):
     """No hour and no row is lost; rows after publication are recorded; the state stays small over many batches."""
     out = str(tmp_path / "o")
