@@ -194,6 +194,13 @@ def test_partition_commit_delivers_a_repeated_batch_once(spark, feed, tmp_path,
     assert values(commit.committed_partitions(spark, out).select("hr", "rows")) == [("12", 1)]
 
 
+def test_staged_addresses_are_in_files_for_all_cores(spark, sf_dir):
+    folder, per_chunk = X.staged_clients(spark, sf_dir)
+    assert per_chunk == X.chunk_files(spark, X.events(spark, sf_dir).count())
+    assert len(glob.glob(f"{folder}/*.parquet")) == X.CHUNKS * per_chunk
+    assert values(spark.read.parquet(folder)) == values(X.mixed_clients(spark, sf_dir))
+
+
 def test_success_files_of_many_hours_are_put_at_the_same_time(spark, tmp_path, monkeypatch):
     """More hours than are put at once, among them one that has its file already; none is put by a call of its own."""
     monkeypatch.setattr(commit, "PUT_AT_ONCE", 4)
