@@ -6,7 +6,8 @@ earliest dart. Only darts below a rank that fills all coordinates are thrown, so
 first dart plus a thousand or so. Texts with equal shingle counts are one class from the start and are joined as
 one. In each bucket members are compared with one of them, first in a few bands, then in all, then with more of
 those that are still of other groups, until a bucket holds no two members of different groups that were not compared; members of one group
-are not compared again, so a group of copies does not emit all its pairs. Texts without words are one class
+are not compared again, so a group of copies does not emit all its pairs. Strips that only one group holds are in no
+overlap with another, so a text that has more of them than a link allows is not compared any further. Texts without words are one class
 where they are equal character by character; null is a text of its own, apart from the empty one.
 A text of fewer than five words is one shingle. Null ids are kept and never lead a group.
 """
@@ -168,6 +169,23 @@ def alike(pairs, met, threshold):
     return stored(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "near-links")
 
 
+def ceilings(waiting, met):
+    """key, ceiling: how many strips of each waiting text are also in a waiting text of another label.
+
+    No overlap of texts of different labels is larger. Texts without such a strip are left out.
+    """
+    who = waiting.select("key", "label").distinct()
+    held = met.join(who, "key").select(
+        F.xxhash64("key").alias("text"), F.xxhash64("label").alias("group"), F.explode("grams").alias("gram"))
+    one = held.groupBy("gram").agg(F.min("text").alias("text"), F.max("text").alias("last"), F.min("group").alias("low"), F.max("group").alias("high"))
+    one = stored(one.where("low = high").select("gram", "text", (F.col("text") == F.col("last")).alias("alone")), "near-lone")
+    # Most strips of one label are in one text only, which the sums name; the others are looked up in their texts.
+    several = held.join(one.where("not alone").select("gram"), "gram").select("text")
+    lone = one.where("alone").select("text").unionByName(several).groupBy("text").agg(F.count(F.lit(1)).alias("lone"))
+    sizes = met.join(who, "key").select("key", F.xxhash64("key").alias("text"), F.size("grams").alias("all"))
+    return sizes.join(lone, "text", "left").select("key", (F.col("all") - F.coalesce("lone", F.lit(0))).alias("ceiling"))
+
+
 def buckets(bands, rows):
     """Column of the bucket of each band of the signature."""
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))
@@ -186,7 +204,8 @@ def settled(reps, strips_of, threshold, leaders=LEADERS):
     has a turn, a number spread evenly over the bucket's size by the key's hash. A round compares the members
     whose turn has come, the first one at first, with those of other labels in the bucket; a bucket whose other
     members share one label is settled. Each round reaches three times as far as the one before, so the last
-    member is reached in few rounds, and no pair of a bucket with different labels is left out.
+    member is reached in few rounds, and no pair of a bucket with different labels that can be similar is left out.
+    From the third round on, when few texts are left, `ceilings` rules pairs and whole texts out before that.
     """
     entries = reps.select("key", F.col("n").alias("size"), F.posexplode("buckets").alias("band", "bucket"))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
@@ -195,28 +214,54 @@ def settled(reps, strips_of, threshold, leaders=LEADERS):
     turn = (place - F.col("low")) * F.col("n") / F.lit(1 << 30)
     waiting = stored(entries.join(shared, "bucket").select("band", "bucket", "key", "size", turn.alias("turn")), "near-entries")
     met = stored(strips_of(stored(waiting.select("key").distinct(), "near-asked")), "near-met")
-    waiting, links, upto, first = waiting.withColumn("label", F.col("key")), None, 0, True
+    waiting = waiting.select("*", F.col("key").alias("label"), F.col("size").alias("ceiling"))
+    links, upto, first = None, 0, True
     while True:
         asking = waiting.where(F.col("band") < FIRST_BANDS) if first else waiting
-        heads = asking.where(F.col("turn") <= upto).select(
-            "bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("size").alias("head_size"))
-        # Sizes too far apart rule a pair out before its strips are fetched.
-        close = F.least("size", "head_size") >= threshold * F.greatest("size", "head_size")
-        pairs = asking.join(heads, "bucket").where((F.col("label") != F.col("head_label")) & close).select(
-            F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
+        pairs = asked_once(asking, upto, threshold)
         found = alike(stored(pairs, "near-pairs"), met, threshold)
         links = found if links is None else stored(links.unionByName(found).distinct(), "near-links")
         labels = components(links)
         done = F.col("turn") <= upto
         waiting = waiting.where(~done | (F.col("band") >= FIRST_BANDS) if first else ~done).drop("label").join(labels, "key", "left").select(
-            "band", "bucket", "key", "size", "turn", F.coalesce("label", "key").alias("label"))
-        mixed_up = waiting.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        waiting = stored(waiting.join(mixed_up.select("bucket"), "bucket", "left_semi"), "near-entries")
+            "band", "bucket", "key", "size", "turn", F.coalesce("label", "key").alias("label"), "ceiling")
+        waiting = unsettled(waiting)
+        if not first:
+            waiting = waiting.drop("ceiling").join(ceilings(waiting, met), "key")
+            waiting = unsettled(waiting.where(F.col("ceiling") / F.col("size") >= threshold))
         if waiting.isEmpty():
             return links, labels
         upto, first = upto if first else 3 * upto + leaders, False
 
 
+def asked_once(asking, upto, threshold):
+    """The pairs (a, b) of texts of different labels that a round compares: those whose turn has come with the others
+    of their buckets. A pair that meets in several buckets is made in the first of them alone."""
+
+    def listed(rows, name):
+        return rows.groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias(name))
+
+    come = asking.where(F.col("turn") <= upto)
+    heads = come.join(listed(come, "head_buckets"), "key").select(
+        "bucket", "head_buckets", F.col("key").alias("head"), F.col("label").alias("head_label"),
+        F.col("size").alias("head_size"), F.col("ceiling").alias("head_ceiling"))
+    # Sizes too far apart, or too few strips that others have, rule a pair out before its strips are fetched.
+    most = F.least("ceiling", "head_ceiling")
+    close = (F.least("size", "head_size") >= threshold * F.greatest("size", "head_size")) & (
+        most / (F.col("size") + F.col("head_size") - most) >= threshold)
+    once = ((F.col("turn") > upto) | (F.col("key") > F.col("head"))) & (
+        F.get(F.array_intersect("buckets", "head_buckets"), F.lit(0)) == F.col("bucket"))
+    pairs = asking.join(listed(asking, "buckets"), "key").join(heads, "bucket")
+    return pairs.where((F.col("label") != F.col("head_label")) & close & once).select(
+        F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
+
+
+def unsettled(waiting):
+    """The members of buckets that hold more than one label."""
+    mixed_up = waiting.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return stored(waiting.join(mixed_up.select("bucket"), "bucket", "left_semi"), "near-entries")
+
+
 def components(links):
     """key, label: the smallest key of the connected part, by labels that spread and skip until none changes."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

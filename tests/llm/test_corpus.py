@@ -316,3 +316,18 @@ def test_texts_left_without_words_are_one_of_each(spark, sf_dir):
 def test_pipeline_returns_no_text_twice(spark, sf_dir):
     texts = [r.text for r in corpus_pipeline.run(spark, sf_dir.replace("0.001", "0.01")).select("text").collect()]
     assert len(texts) == len(set(texts))
+
+
+def test_near_copies_unlike_each_other_are_not_compared_in_pairs(spark, monkeypatch):
+    """Texts of one origin that differ from each other by a third share all buckets; few pairs of them are fetched."""
+    rng = np.random.default_rng(11)
+    base, rows, asked = rng.integers(0, 2**62, 100).tolist(), [], []
+    for i in range(80):
+        own = sorted([*rng.choice(base, 85, replace=False).tolist(), *rng.integers(0, 2**62, 15).tolist()])
+        rows.append((f"{i:02d}", own, [7] * 10))
+    rows.append(("twin", own[:-3], [7] * 10))
+    alike = near.alike
+    monkeypatch.setattr(near, "alike", lambda pairs, *a: asked.append(pairs.count()) or alike(pairs, *a))
+    links, labels = near.grouped(spark.createDataFrame(rows, "key string, grams array<long>, signature array<long>"), 0.8, bands=2, rows=5)
+    assert [tuple(r) for r in links.collect()] == [("79", "twin")]
+    assert sum(asked) < 500 < 81 * 80 // 2
