@@ -1,8 +1,6 @@
 """Corpus pipeline: documents through quality rules, line and near-duplicate removal, decontamination
 and piece encoding. Each stage reads what the one before has written."""
 
-from pyspark.sql import functions as F
-
 from logweir.llm import decontam, lines, near, pieces, quality
 from logweir.llm.common import stored
 
@@ -29,8 +27,7 @@ def decontamination(spark, docs, sf_dir):
 
 def piece_encoding(spark, docs, sf_dir):
     """The documents with sampled piece ids, and the text those ids decode to."""
-    cut = docs.withColumn("piece_ids", pieces.encoded(F.col("text"), F.col("doc_id")))
-    return cut.withColumn("decoded", pieces.decoded(F.col("piece_ids")))
+    return pieces.round_trip(docs, "piece_ids", "decoded")
 
 
 STAGES = [

@@ -11,12 +11,14 @@ pieces; a null key seeds like the empty key, and equal rows are cut alike. Decod
 import hashlib
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -24,8 +26,10 @@ MARK = "▁"
 ALPHA = 0.0005
 #: No piece reaches over these cuts, so the lattice falls apart there without loss.
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
-#: Words worked on together, and ids decoded together; they bound the memory, not the result.
-TOGETHER, DECODED = 40_000, 200_000
+#: Characters of words worked on together, and ids decoded together; they bound the memory, not the result.
+TOGETHER, DECODED = 250_000, 200_000
+#: Bytes of the rows that are handed on together, unless one row has more.
+HANDED = 1 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,6 +47,22 @@ def ranges(starts, sizes):
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def words_of(text):
+    """The words of a text in lists of some TOGETHER characters, so a long text is not cut all at once."""
+    if len(text) <= TOGETHER:
+        yield CHUNK.findall(text)
+        return
+    words, held = [], 0
+    for found in CHUNK.finditer(text):
+        words.append(found.group())
+        held += len(words[-1])
+        if held >= TOGETHER:
+            yield words
+            words, held = [], 0
+    if words:
+        yield words
+
+
 class Vocabulary:
     def __init__(self, model, alpha=ALPHA):
         import sentencepiece
@@ -78,15 +98,22 @@ class Vocabulary:
                 at = branches.setdefault(at << 21 | ord(c), len(branches) + 1)
             found[at] = (i, self.weight[plain])
         keys = np.array(list(branches), dtype=np.int64)
+        parents, letters = keys >> 21, keys & (1 << 21) - 1
+        # Branches that go on have the lower numbers, so tables of what follows end with them.
+        inner = np.zeros(len(keys) + 1, dtype=bool)
+        inner[0] = inner[parents] = True
+        number = np.empty(len(inner), dtype=np.int64)
+        number[np.argsort(~inner, kind="stable")] = np.arange(len(inner))
+        self.inner, keys = int(inner.sum()), number[parents] << 21 | letters
         order = np.argsort(keys)
-        self.branch, self.child = keys[order], order + 1
+        self.branch, self.child = keys[order], number[order + 1].astype(np.int32)
         # The branches of the first 128 characters are also a table, which spares a search.
-        plain = keys & (1 << 21) - 1 < 128
-        self.table = np.zeros((len(keys) + 1) * 128, dtype=np.int32)
-        self.table[(keys[plain] >> 21) * 128 + (keys[plain] & 127)] = np.flatnonzero(plain) + 1
-        self.piece, self.score = np.full(len(keys) + 1, -1), np.zeros(len(keys) + 1)
+        plain = np.flatnonzero(letters < 128)
+        self.table = np.zeros(self.inner * 128, dtype=np.int32)
+        self.table[number[parents[plain]] * 128 + letters[plain]] = number[plain + 1]
+        self.piece, self.score = np.full(len(inner), -1, dtype=np.int32), np.zeros(len(inner))
         for at, (i, w) in found.items():
-            self.piece[at], self.score[at] = i, w
+            self.piece[number[at]], self.score[number[at]] = i, w
 
     def arcs(self, codes, left):
         """(length, starts, symbols, weights) of the pieces found in a run of characters, shortest first.
@@ -94,16 +121,15 @@ class Vocabulary:
         `left` is how many characters of its word lie at and behind each place. A character without a piece has
         a symbol of its own beyond the pieces; those characters are returned as well.
         """
-        at, tree, out, length = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), [], 0
+        at, tree, out, length = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), dtype=np.int32), [], 0
         strange = np.zeros(0, dtype=np.uint32)
         while len(at):
-            code = codes[at + length].astype(np.int64)
+            code = codes[at + length].astype(np.int32)
             far = np.flatnonzero(code > 127)
-            asked = tree[far] << 21 | code[far]
+            asked = tree[far].astype(np.int64) << 21 | code[far]
             place = np.minimum(np.searchsorted(self.branch, asked), len(self.branch) - 1)
-            tree = self.table[tree * 128 + (code & 127)].astype(np.int64)
+            tree = self.table[tree * 128 + (code & 127)]
             tree[far] = np.where(self.branch[place] == asked, self.child[place], 0)
-            known = tree > 0
             length += 1
             piece = self.piece[tree]
             if length == 1:
@@ -116,7 +142,7 @@ class Vocabulary:
             else:
                 hit = piece >= 0
                 out.append((length, at[hit], piece[hit], self.score[tree[hit]]))
-            on = known & (left[at] > length)
+            on = (tree > 0) & (tree < self.inner) & (left[at] > length)
             at, tree = at[on], tree[on]
         return out, strange
 
@@ -135,17 +161,20 @@ class Vocabulary:
         codes = np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le"), dtype=np.uint32)
         holding = np.cumsum(np.bincount(sizes)[::-1])[::-1]
         layer = np.r_[0, np.cumsum(holding)]
-        word, place = np.repeat(np.arange(len(words)), sizes), ranges(np.zeros(len(words), dtype=np.int64), sizes)
+        word, place = np.repeat(np.arange(len(words), dtype=np.int32), sizes), ranges(np.zeros(len(words), dtype=np.int64), sizes)
         found, strange = self.arcs(codes, sizes[word] - place)
+        del codes
         ends = [layer[place[at] + length] + word[at] for length, at, _, _ in found]
-        degree = np.bincount(np.concatenate(ends), minlength=layer[-1])
+        degree = sum(np.bincount(end, minlength=layer[-1]) for end in ends)
         first = np.r_[0, np.cumsum(degree)]
-        used = first[:-1].copy()
-        source, symbol, weight = np.zeros(first[-1], dtype=np.int64), np.zeros(first[-1], dtype=np.int64), np.zeros(first[-1])
-        for (_, at, symbols, weights), end in zip(found, ends):
+        used = first[1:].copy()
+        source, symbol, weight = np.zeros(first[-1], dtype=np.int32), np.zeros(first[-1], dtype=np.int32), np.zeros(first[-1])
+        while found:
+            (_, at, symbols, weights), end = found.pop(), ends.pop()
+            # The arcs of a node lie in order of their length, so the longest takes the last place left.
+            used[end] -= 1
             to = used[end]
             source[to], symbol[to], weight[to] = layer[place[at]] + word[at], symbols, weights
-            used[end] += 1
         forward, share = np.zeros(layer[-1]), np.zeros(first[-1])
         for p in range(1, len(layer) - 1):
             begin, end = layer[p], layer[p + 1]
@@ -183,7 +212,7 @@ class Vocabulary:
                 arc[above] -= 1
                 above = above[lower[arc[above]] > draw[above]]
             steps.append((live, symbol[arc]))
-            node = source[arc]
+            node = source[arc].astype(np.int64)
             counts[live] += 1
             on = node >= len(words)
             node, live, state = node[on], live[on], state[on]
@@ -204,11 +233,14 @@ class Vocabulary:
         """(ids, count of ids per text) of one sampled path for each text; null and empty texts have none."""
         counts, out = [], [np.zeros(0, dtype=np.int32)]
         rows, sizes, seeds, begins, waiting = [], [], [], [], []
+        held = 0
 
         def flush():
             number = defaultdict()
             number.default_factory = number.__len__
             which = np.fromiter(map(number.__getitem__, waiting), dtype=np.int64, count=len(waiting))
+            # The table refers to itself by this, and would stay with its words until the collector comes by.
+            number.default_factory = None
             each = np.array(sizes)
             with np.errstate(over="ignore"):
                 place = ranges(np.array(begins), each).astype(np.uint64)
@@ -227,16 +259,18 @@ class Vocabulary:
             if not text:
                 continue
             digest = int.from_bytes(hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=8).digest(), "little")
-            words = CHUNK.findall(" " + text)
-            for begin in range(0, len(words), TOGETHER):
-                part = words[begin:begin + TOGETHER]
+            begin = 0
+            for part in words_of(" " + text):
                 rows.append(row)
                 sizes.append(len(part))
                 seeds.append(digest)
                 begins.append(begin)
                 waiting.extend(part)
-                if len(waiting) >= TOGETHER:
+                begin += len(part)
+                held += sum(map(len, part))
+                if held >= TOGETHER:
                     flush()
+                    held = 0
         if waiting:
             flush()
         return np.concatenate(out), np.array(counts, dtype=np.int64)
@@ -263,35 +297,89 @@ def vocabulary(model, alpha):
     return Vocabulary(model, alpha)
 
 
-def unpacked(column, together=500):
-    """The values of an Arrow array, made Python values a few hundred at a time."""
-    for low in range(0, len(column), together):
-        yield from column.slice(low, together).to_pylist()
+def parts(sizes, limit):
+    """(first row, number of rows) of runs of rows of `limit` together at most, or of one row that is larger."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + limit, side="right")))
+        yield low, high - low
+        low = high
 
 
 def offsets(counts):
     return pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
 
 
+def cut(v, texts, keys, seed):
+    """Arrow lists of the ids of an Arrow batch of texts, a part of its rows after the other."""
+    sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0), dtype=np.int64)
+    for low, n in parts(sizes, HANDED):
+        part = texts.slice(low, n)
+        ids, counts = v.sampled(part.to_pylist(), keys.slice(low, n).to_pylist(), seed)
+        yield pa.ListArray.from_arrays(offsets(counts), pa.array(ids, pa.int32()), mask=part.is_null())
+
+
+def spelt(v, rows):
+    """Arrow texts of Arrow lists of ids."""
+    counts = np.asarray(rows.value_lengths().fill_null(0), dtype=np.int64)
+    raw, sizes = v.bytes_of(np.asarray(rows.flatten()), counts)
+    texts = pa.StringArray.from_buffers(len(rows), offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes()))
+    return pa.compute.if_else(rows.is_null(), pa.scalar(None, pa.string()), texts)
+
+
+def seeded_by(key):
+    return F.coalesce(key.cast("string"), F.lit(""))
+
+
 def encoded(text, key, model=MODEL, alpha=ALPHA, seed=0):
     """Column of piece ids for a text column and a key column."""
 
+    # Not a function of whole batches: Spark would run it once more inside each function of its result.
     @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        ids, counts = vocabulary(model, alpha).sampled(unpacked(texts), unpacked(keys), seed)
-        return pa.ListArray.from_arrays(offsets(counts), pa.array(ids, pa.int32()), mask=texts.is_null())
+    def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield from cut(vocabulary(model, alpha), *batch, seed)
+            del batch
 
-    return encode(text, F.coalesce(key.cast("string"), F.lit("")))
+    return encode(text, seeded_by(key))
 
 
 def decoded(ids, model=MODEL):
     """Column of texts for a column of piece ids."""
 
     @F.arrow_udf("string")
-    def decode(rows: pa.Array) -> pa.Array:
-        counts = np.asarray(rows.value_lengths().fill_null(0), dtype=np.int64)
-        raw, sizes = vocabulary(model, ALPHA).bytes_of(np.asarray(rows.flatten()), counts)
-        texts = pa.StringArray.from_buffers(len(rows), offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes()))
-        return pa.compute.if_else(rows.is_null(), pa.scalar(None, pa.string()), texts)
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sizes = 4 * np.asarray(batch.value_lengths().fill_null(0), dtype=np.int64)
+            for low, n in parts(sizes, HANDED):
+                yield spelt(vocabulary(model, ALPHA), batch.slice(low, n))
+            del batch
 
     return decode(ids)
+
+
+def round_trip(df, ids, back, text="text", key="doc_id", model=MODEL, alpha=ALPHA, seed=0):
+    """The rows with the piece ids of their text as column `ids`, and the text those ids decode to as column `back`.
+
+    The columns of `encoded` and `decoded` made in one pass: a part of the rows is cut, its ids are decoded, and it is
+    handed on. Asked for one by one, the second takes a Python process of its own and batches of 10,000 rows of ids.
+    """
+    columns = [c for c in df.columns if c not in (ids, back)]
+    at, names = df.columns.index(text), [*columns, ids, back]
+    kept = [df.columns.index(c) for c in columns]
+    kinds = [df.schema[c] for c in columns]
+
+    def both(batch):
+        v, texts, low = vocabulary(model, alpha), batch.column(at), 0
+        for rows in cut(v, texts, batch.column(batch.num_columns - 1), seed):
+            part = batch.slice(low, len(rows))
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), rows, spelt(v, rows)], names)
+            low += len(rows)
+
+    def go(batches):
+        for batch in batches:
+            yield from both(batch)
+            del batch
+
+    made = StructType([*kinds, StructField(ids, ArrayType(IntegerType())), StructField(back, StringType())])
+    return df.select("*", seeded_by(df[key])).mapInArrow(go, made)
