@@ -43,9 +43,7 @@ def op4_quality_classifier(spark, sf_dir):
 def op5_sampled_pieces(spark, sf_dir):
     """Sampled pieces of every text, and whether decoding them gives the text back."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = docs.withColumn("ids", pieces.encoded(F.col("text"), F.col("doc_id")))
-    back = cut.withColumn("back", pieces.decoded(F.col("ids")))
-    return back.select(
+    return pieces.round_trip(docs, "ids", "back").select(
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("back", 256).alias("decoded_sha256"), F.col("back").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import corpus_pipeline  # noqa: E402
 from logweir.llm import pieces  # noqa: E402
 from logweir.llm.queries import QUERIES  # noqa: E402
+from logweir.llm.queries import QUERIES  # noqa: E402
 
 TEXTS = ["", None, " one two", "▁ mark é", "中文" * 40, "a b\n" * 90, "x" * 700, "\u0000 😀"]
 
@@ -30,6 +31,10 @@ def test_pipeline_stage_cuts_each_text_once(spark, sf_dir):
     assert once(corpus_pipeline.piece_encoding(spark, docs, sf_dir))
 
 
+def test_op5_cuts_each_text_once(spark, sf_dir):
+    assert once(QUERIES["op5_sampled_pieces"](spark, sf_dir))
+
+
 def test_words_of_a_round_are_freed_at_once():
     """Without the collector of cycles, which may come by much later than the next rounds."""
     v = pieces.vocabulary(pieces.MODEL, pieces.ALPHA)
